@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold import config as C
-from dimfold.functions import arrays
-from dimfold.operators import datelist, dedup
+from dimfold.functions import arrays, classify
+from dimfold.operators import datelist, dedup, history, scd
 from dimfold.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,137 @@ def q_datelist_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_datelist_active_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = datelist.dates_build(views.events(spark, sf_dir), C.RUN_DATE)
     return datelist.datelist_bitmap(snap).select("user_id", "dim_is_monthly_active", "dim_is_weekly_active")
+
+
+# ------------------------------------------------------------------ A: cumulative history
+
+def _history_report(snap: DataFrame) -> DataFrame:
+    h = F.col("season_stats")
+    return snap.select(
+        "player_name", "height", "college", "country", "draft_year", "draft_round", "draft_number",
+        "current_season",
+        F.size(h).alias("n_seasons"),
+        arrays.joined(h, lambda x: x["season"].cast("string")).alias("seasons"),
+        arrays.last(h)["pts"].alias("last_pts"),
+        "scoring_class", "years_since_last_season", "is_active",
+    )
+
+
+@register("history_backfill")
+def q_history_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ps = views.player_seasons(spark, sf_dir)
+    return _history_report(history.history_backfill(ps, C.FIRST_YEAR, C.NEXT_YEAR))
+
+
+@register("cumulative_step")
+def q_cumulative_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ps = views.player_seasons(spark, sf_dir)
+    yesterday = history.history_backfill(ps, C.FIRST_YEAR, C.NEXT_YEAR - 1).where(
+        F.col("current_season") == C.NEXT_YEAR - 1)
+    today = ps.where(F.col("season") == C.NEXT_YEAR)
+    return _history_report(history.cumulative_step(today, yesterday))
+
+
+def _players_at_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ps = views.player_seasons(spark, sf_dir)
+    return history.history_backfill(ps, C.FIRST_YEAR, C.NEXT_YEAR).where(F.col("current_season") == C.NEXT_YEAR)
+
+
+@register("history_explode")
+def q_history_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.history_explode(_players_at_last(spark, sf_dir))
+
+
+@register("history_first_last")
+def q_history_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = history.history_first_last(_players_at_last(spark, sf_dir))
+    return out.withColumn("pts_growth", F.round("pts_growth", 4))
+
+
+@register("threshold_class")
+def q_threshold_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ps = views.player_seasons(spark, sf_dir)
+    return ps.select("player_name", "season", "pts", classify.scoring_class(F.col("pts")).alias("scoring_class"))
+
+
+@register("static_attributes")
+def q_static_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.static_attributes(views.player_seasons(spark, sf_dir))
+
+
+def actors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.history_backfill_avg(views.actor_films(spark, sf_dir))
+
+
+@register("history_backfill_avg")
+def q_history_backfill_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = actors(spark, sf_dir)
+    return a.select(
+        "actor_id", "actor_name", "year",
+        F.size("films").alias("n_films"),
+        arrays.joined(F.col("films"), lambda f: f["film_id"]).alias("film_ids"),
+        "quality_class", "is_active",
+    )
+
+
+# ------------------------------------------------------------------ B: SCD2
+
+def actors_scd(spark: SparkSession, sf_dir: str, cutoff: int = C.SCD_CUTOFF) -> DataFrame:
+    return scd.scd2_full(actors(spark, sf_dir), cutoff)
+
+
+@register("scd2_full")
+def q_scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return actors_scd(spark, sf_dir)
+
+
+@register("scd2_incremental")
+def q_scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = actors(spark, sf_dir)
+    return scd.scd2_incremental(scd.scd2_full(a, C.SCD_CUTOFF), a, C.SCD_CUTOFF, C.NEXT_YEAR)
+
+
+def _branch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    a = actors(spark, sf_dir)
+    br = scd.scd2_branches(scd.scd2_full(a, C.SCD_CUTOFF), a, C.SCD_CUTOFF, C.NEXT_YEAR)
+    return scd.explode_branches(br.where(F.col("branch") == name))
+
+
+@register("scd2_unchanged")
+def q_scd2_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _branch(spark, sf_dir, "unchanged")
+
+
+@register("scd2_changed")
+def q_scd2_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _branch(spark, sf_dir, "changed")
+
+
+@register("scd2_new")
+def q_scd2_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _branch(spark, sf_dir, "new")
+
+
+@register("scd2_closed")
+def q_scd2_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd.scd2_closed(actors_scd(spark, sf_dir), C.SCD_CUTOFF)
+
+
+@register("scd_type0")
+def q_scd_type0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd.scd_type0(actors(spark, sf_dir), "actor_id", "year", ["quality_class"])
+
+
+@register("scd_type1")
+def q_scd_type1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd.scd_type1(actors(spark, sf_dir), "actor_id", "year", ["quality_class"])
+
+
+@register("scd_type3")
+def q_scd_type3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd.scd_type3(actors(spark, sf_dir), "actor_id", "year", ["quality_class"])
+
+
+@register("scd2_as_of")
+def q_scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd.scd2_expand(actors_scd(spark, sf_dir))
