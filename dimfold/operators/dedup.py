@@ -35,7 +35,9 @@ def keep_first(
 ) -> DataFrame:
     """One row per ``keys``: the first by ``order`` (made total). Optionally keep ``rn``."""
     key_names = [k for k in keys if isinstance(k, str)]
-    w = Window.partitionBy(*keys).orderBy(*total_order(df, key_names, order))
+    # when every column is a key the rows of a partition are identical: any order is total
+    ordering = total_order(df, key_names, order) or [F.col(k) if isinstance(k, str) else k for k in keys]
+    w = Window.partitionBy(*keys).orderBy(*ordering)
     rn = rn_col or "__rn"
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1)
     return out if rn_col else out.drop(rn)

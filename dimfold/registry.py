@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from dimfold import config as C
 from dimfold.functions import arrays, classify
-from dimfold.operators import datelist, dedup, history, scd
+from dimfold.operators import contracts, datelist, dedup, facts, history, scd
 from dimfold.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,3 +210,53 @@ def q_scd_type3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("scd2_as_of")
 def q_scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_expand(actors_scd(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ C / D / T5 / T7: facts
+
+@register("dedup_details")
+def q_dedup_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup_details(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+
+
+@register("dedup_dimension")
+def q_dedup_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup_dimension(views.devices(spark, sf_dir))
+
+
+def fct_game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.fact_details(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+
+
+@register("fact_details")
+def q_fact_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fct_game_details(spark, sf_dir).withColumn("m_minutes", F.round("m_minutes", 4))
+
+
+@register("fact_rate")
+def q_fact_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.fact_rate(fct_game_details(spark, sf_dir))
+
+
+@register("denormalize_fact")
+def q_denormalize_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gd = views.game_details(spark, sf_dir).select("game_id", "player_id", "team_id", "pts")
+    teams = dedup.dedup_dimension(views.teams(spark, sf_dir), ["team_id"])
+    return facts.denormalize(gd, teams, "team_id", ["abbreviation", "nickname", "city", "arena"])
+
+
+@register("daily_aggregate")
+def q_daily_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.daily_aggregate(views.events(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ K: contracts
+
+@register("enum_contract")
+def q_enum_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.enum_profile(actors(spark, sf_dir), "quality_class", classify.QUALITY_LABELS)
+
+
+@register("key_contract")
+def q_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.key_violations(views.game_details(spark, sf_dir), list(dedup.DETAIL_KEY))
