@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from dimfold import config as C
 from dimfold.functions import arrays, classify
-from dimfold.operators import contracts, datelist, dedup, facts, history, scd
+from dimfold.functions.props import prop
+from dimfold.operators import contracts, datelist, dedup, facts, graph, history, scd
 from dimfold.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,3 +261,72 @@ def q_enum_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("key_contract")
 def q_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.key_violations(views.game_details(spark, sf_dir), list(dedup.DETAIL_KEY))
+
+
+# ------------------------------------------------------------------ E: graph
+
+def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gd = views.game_details(spark, sf_dir)
+    return (
+        graph.game_vertices(views.games(spark, sf_dir))
+        .unionByName(graph.player_vertices(gd))
+        .unionByName(graph.team_vertices(views.teams(spark, sf_dir)))
+    )
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gd = views.game_details(spark, sf_dir)
+    return graph.plays_in_edges(gd).unionByName(graph.pair_edges(gd))
+
+
+def _fields(df: DataFrame, keep: list[str], keys: list[str]) -> DataFrame:
+    return df.select(*keep, *[prop("properties", k).alias(k) for k in keys])
+
+
+@register("graph_vertices_fact")
+def q_graph_vertices_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = graph.game_vertices(views.games(spark, sf_dir))
+    return _fields(v, ["identifier", "type"], ["pts_home", "pts_away", "winning_team"])
+
+
+@register("graph_vertices_agg")
+def q_graph_vertices_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = graph.player_vertices(views.game_details(spark, sf_dir))
+    return _fields(v, ["identifier", "type"], ["player_name", "number_of_games", "total_points", "teams"])
+
+
+@register("graph_vertices_dim")
+def q_graph_vertices_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = graph.team_vertices(views.teams(spark, sf_dir))
+    return _fields(v, ["identifier", "type"], ["abbreviation", "nickname", "city", "arena", "year_founded"])
+
+
+_EDGE_KEY = ["subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type"]
+
+
+@register("graph_edges_bipartite")
+def q_graph_edges_bipartite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = graph.plays_in_edges(views.game_details(spark, sf_dir))
+    return _fields(e, _EDGE_KEY, ["start_position", "pts", "team_id", "team_abbreviation"])
+
+
+@register("graph_edges_pairwise")
+def q_graph_edges_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = graph.pair_edges(views.game_details(spark, sf_dir))
+    return _fields(e, _EDGE_KEY, ["num_games", "subject_points", "object_points"])
+
+
+@register("graph_max_property")
+def q_graph_max_property(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.max_property(vertices(spark, sf_dir), edges(spark, sf_dir))
+
+
+@register("graph_pair_vs_career")
+def q_graph_pair_vs_career(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.pair_vs_career(vertices(spark, sf_dir), edges(spark, sf_dir))
+
+
+@register("map_properties")
+def q_map_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = graph.property_map(vertices(spark, sf_dir))
+    return m.select("identifier", "type", F.explode("properties").alias("key", "value"))
