@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from dimfold import config as C
 from dimfold.functions import arrays, classify
 from dimfold.functions.props import prop
-from dimfold.operators import contracts, datelist, dedup, facts, graph, history, scd
+from dimfold.operators import contracts, datelist, dedup, facts, graph, history, reduced, scd
+from dimfold.plans import sinks
 from dimfold.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,3 +331,130 @@ def q_graph_pair_vs_career(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_map_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = graph.property_map(vertices(spark, sf_dir))
     return m.select("identifier", "type", F.explode("properties").alias("key", "value"))
+
+
+# ------------------------------------------------------------------ F2 / F3 / H2: daily folds
+
+def _fold_days(run_date: dt.date, days: int) -> list[dt.date]:
+    return [run_date - dt.timedelta(days=k) for k in range(days - 1, -1, -1)]
+
+
+@register("datelist_device_step")
+def q_datelist_device_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev, dev = views.events(spark, sf_dir), views.devices(spark, sf_dir)
+    snap = datelist.device_build(ev, dev, C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS))
+    for d in _fold_days(C.RUN_DATE, C.FOLD_DAYS):
+        snap = datelist.device_step(ev, dev, snap, d)
+    lst = F.col("device_activity_datelist")
+    return snap.select(
+        "user_id", "device_id", "date", F.size(lst).alias("n_entries"),
+        arrays.joined(lst, lambda x: F.concat_ws(":", x["date"].cast("string"), x["browser_type"],
+                                                 x["events_count"].cast("string"))).alias("entries"),
+    )
+
+
+def hosts_cumulated_folded(ev: DataFrame, run_date: dt.date = C.RUN_DATE, days: int = C.FOLD_DAYS) -> DataFrame:
+    snap = datelist.host_build(ev, run_date - dt.timedelta(days=days))
+    for d in _fold_days(run_date, days):
+        snap = datelist.host_step(ev, snap, d)
+    return snap
+
+
+def _host_entries(col) -> F.Column:
+    return arrays.joined(col, lambda x: F.concat_ws(":", x["date"].cast("string"), x["events_count"].cast("string"),
+                                                    x["users_count"].cast("string")))
+
+
+@register("datelist_host_step")
+def q_datelist_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snap = hosts_cumulated_folded(views.events(spark, sf_dir))
+    lst = F.col("host_activity_datelist")
+    return snap.select("host", "date", F.size(lst).alias("n_entries"), _host_entries(lst).alias("entries"))
+
+
+@register("snapshot_write")
+def q_snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day N is written to its own partition; day N+1 reads day N's files; re-running N+1 replaces it."""
+    ev = views.events(spark, sf_dir)
+    path = sinks_path(spark, "users_cumulated")
+    prev = C.RUN_DATE - dt.timedelta(days=1)
+    sinks.write_snapshot(datelist.dates_build(ev, prev), path, ["date"])
+    for _ in range(2):
+        yesterday = sinks.read_snapshot(spark, path, F.col("date") == F.lit(prev))
+        sinks.write_snapshot(datelist.dates_step(ev, yesterday, C.RUN_DATE), path, ["date"])
+    snap = sinks.read_snapshot(spark, path)
+    return snap.select(
+        "user_id", "date", F.size("dates_active").alias("n_dates"), _days_text(F.col("dates_active")).alias("dates"))
+
+
+def sinks_path(spark: SparkSession, name: str) -> str:
+    from dimfold.session import shared_dir
+    return shared_dir(spark, name)
+
+
+# ------------------------------------------------------------------ G / H1: reduced facts
+
+def _shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.events(spark, sf_dir, shift_days=C.MONTH_SHIFT_DAYS)
+
+
+_METRIC_KEY = ["user_id", "month_start", "metric_name"]
+_HOST_KEY = ["month", "host"]
+
+
+def _ints_text(col) -> F.Column:
+    return arrays.joined(col, lambda x: x.cast("long").cast("string"))
+
+
+def _metric_report(t: DataFrame) -> DataFrame:
+    return t.select("user_id", "month_start", "metric_name", F.size("metric_array").alias("n_days"),
+                    _ints_text(F.col("metric_array")).alias("metric_values"))
+
+
+def array_metrics_folded(ev: DataFrame, run_date: dt.date = C.MONTH_RUN_DATE, days: int = C.FOLD_DAYS) -> DataFrame:
+    table = reduced.metric_build(ev, run_date - dt.timedelta(days=days))
+    for d in _fold_days(run_date, days):
+        table = sinks.upsert(table, reduced.metric_step(ev, table, d), _METRIC_KEY)
+    return table
+
+
+@register("reduced_metric_step")
+def q_reduced_metric_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metric_report(array_metrics_folded(_shifted(spark, sf_dir)))
+
+
+@register("upsert_by_key")
+def q_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _shifted(spark, sf_dir)
+    existing = reduced.metric_build(ev, C.MONTH_RUN_DATE - dt.timedelta(days=1))
+    incoming = reduced.metric_step(ev, existing, C.MONTH_RUN_DATE)
+    return _metric_report(sinks.upsert(existing, incoming, _METRIC_KEY))
+
+
+def _host_report(t: DataFrame) -> DataFrame:
+    return t.select("month", "host", F.size("hit_array").alias("n_days"),
+                    _ints_text(F.col("hit_array")).alias("hits"),
+                    _ints_text(F.col("unique_visitors_array")).alias("unique_visitors"))
+
+
+@register("reduced_host_step")
+def q_reduced_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _shifted(spark, sf_dir)
+    start = C.MONTH_RUN_DATE - dt.timedelta(days=C.FOLD_DAYS)
+    table = reduced.host_batch(datelist.host_build(ev, start), from_first_seen=True)
+    for d in _fold_days(C.MONTH_RUN_DATE, C.FOLD_DAYS):
+        table = sinks.upsert(table, reduced.host_step(ev, table, d), _HOST_KEY)
+    return _host_report(table)
+
+
+@register("reduced_host_batch")
+def q_reduced_host_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _shifted(spark, sf_dir)
+    first_day = ev.select(F.min(F.to_date("event_time"))).scalar()
+    hosts_cumulated = datelist.host_build(ev, first_day).unionByName(datelist.host_build(ev, C.MONTH_RUN_DATE))
+    return _host_report(reduced.host_batch(hosts_cumulated))
+
+
+@register("reduced_expand")
+def q_reduced_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reduced.expand(array_metrics_folded(_shifted(spark, sf_dir)))
