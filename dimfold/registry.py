@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from dimfold import config as C
 from dimfold.functions import arrays, classify
 from dimfold.functions.props import prop
-from dimfold.operators import contracts, datelist, dedup, facts, graph, history, reduced, scd
+from dimfold.operators import bucketize, contracts, datelist, dedup, facts, graph, history, reduced, scd
 from dimfold.plans import sinks
+from dimfold.session import shared_dir
 from dimfold.sources import views
+from dimfold.streaming import dedup as stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -376,7 +378,7 @@ def q_datelist_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day N is written to its own partition; day N+1 reads day N's files; re-running N+1 replaces it."""
     ev = views.events(spark, sf_dir)
-    path = sinks_path(spark, "users_cumulated")
+    path = shared_dir(spark, "users_cumulated")
     prev = C.RUN_DATE - dt.timedelta(days=1)
     sinks.write_snapshot(datelist.dates_build(ev, prev), path, ["date"])
     for _ in range(2):
@@ -387,11 +389,6 @@ def q_snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "date", F.size("dates_active").alias("n_dates"), _days_text(F.col("dates_active")).alias("dates"))
 
 
-def sinks_path(spark: SparkSession, name: str) -> str:
-    from dimfold.session import shared_dir
-    return shared_dir(spark, name)
-
-
 # ------------------------------------------------------------------ G / H1: reduced facts
 
 def _shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,3 +455,34 @@ def q_reduced_host_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("reduced_expand")
 def q_reduced_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.expand(array_metrics_folded(_shifted(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ T1 / T2 / T6
+
+@register("dedup_stream")
+def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events (with their re-delivered copies) landed as files, de-duplicated by a streaming query."""
+    ev = views.events(spark, sf_dir)
+    landing = shared_dir(spark, "events_landing")
+    ev.write.parquet(landing)
+    out = stream_dedup.run_dedup(
+        spark, landing, ev.schema, dedup.EVENT_KEY, "event_time", "1 hour",
+        out_path=shared_dir(spark, "events_dedup"), checkpoint=shared_dir(spark, "events_dedup_ckpt"))
+    return out.select("event_id", "user_id", "device_id", "host", "event_type", "event_time")
+
+
+@register("bucketize")
+def q_bucketize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = views.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"])
+    return bucketize.bucketize(o, "o_totalprice", n_buckets=5, out="price_bucket")
+
+
+@register("bucketed_fact")
+def q_bucketed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box scores bucketed by player once; the per-player aggregate then needs no exchange."""
+    gd = views.game_details(spark, sf_dir)
+    path = shared_dir(spark, "gd_bucketed")
+    table = "gd_bucketed_" + path.rsplit("/", 1)[-1]
+    sinks.write_bucketed(gd, table, 8, ["player_id"], path)
+    return spark.table(table).groupBy("player_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("pts").alias("total_pts"))
