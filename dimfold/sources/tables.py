@@ -9,12 +9,50 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# below this many bytes a table is a dimension: spreading it is not worth a shuffle
+_SMALL_TABLE_FILES_BYTES = 1 << 20
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Read one table; selecting ``columns`` right away keeps the scan's ReadSchema narrow."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               spread: bool = False) -> DataFrame:
+    """Read one table; selecting ``columns`` right away keeps the scan's ReadSchema narrow.
+
+    ``spread``: a dataset stored as few unsplittable units (e.g. one Parquet row
+    group) is scanned by fewer tasks than the session can run at once, and every
+    operator before the first shuffle inherits that.  In that case only, the rows
+    are spread round-robin over ``defaultParallelism`` partitions.  Large tables on
+    a cluster are split into many scan tasks already, so this is a no-op there.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        df = ensure_parallelism(df)
+    return df
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    files_bytes = sum(_input_sizes(df))
+    if files_bytes < _SMALL_TABLE_FILES_BYTES:
+        return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def _input_sizes(df: DataFrame) -> list[int]:
+    import os
+    sizes = []
+    for f in df.inputFiles():
+        p = f[len("file:"):] if f.startswith("file:") else f
+        try:
+            sizes.append(os.path.getsize(p))
+        except OSError:
+            return [1 << 40]  # remote store: assume large
+    return sizes
