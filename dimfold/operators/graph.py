@@ -30,9 +30,16 @@ def _vertex(identifier: Column, vtype: str, properties: Column) -> list[Column]:
     return [identifier.cast("string").alias("identifier"), F.lit(vtype).alias("type"), properties.alias("properties")]
 
 
+# fixed values: the box-score columns the graph uses
+GRAPH_COLS = ("game_id", "player_id", "team_id", "team_abbreviation", "player_name", "start_position", "pts")
+
+
 def player_game_rows(details: DataFrame) -> DataFrame:
-    """One box-score row per (player, game)."""
-    return keep_first(details, ["player_id", "game_id"])
+    """One box-score row per (player, game), first by the graph's own columns.
+
+    Projecting before de-duplicating keeps the sort and the shuffle to seven columns.
+    """
+    return keep_first(details.select(*GRAPH_COLS), ["player_id", "game_id"])
 
 
 def game_vertices(games: DataFrame) -> DataFrame:

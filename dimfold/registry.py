@@ -19,7 +19,7 @@ from dimfold import config as C
 from dimfold.functions import arrays, classify
 from dimfold.functions.props import prop
 from dimfold.operators import bucketize, contracts, datelist, dedup, facts, graph, history, reduced, scd
-from dimfold.plans import sinks
+from dimfold.plans import fold, sinks
 from dimfold.session import shared_dir
 from dimfold.sources import views
 from dimfold.streaming import dedup as stream_dedup
@@ -408,16 +408,21 @@ def _metric_report(t: DataFrame) -> DataFrame:
                     _ints_text(F.col("metric_array")).alias("metric_values"))
 
 
-def array_metrics_folded(ev: DataFrame, run_date: dt.date = C.MONTH_RUN_DATE, days: int = C.FOLD_DAYS) -> DataFrame:
-    table = reduced.metric_build(ev, run_date - dt.timedelta(days=days))
-    for d in _fold_days(run_date, days):
-        table = sinks.upsert(table, reduced.metric_step(ev, table, d), _METRIC_KEY)
-    return table
+def array_metrics_folded(spark: SparkSession, ev: DataFrame, run_date: dt.date = C.MONTH_RUN_DATE,
+                         days: int = C.FOLD_DAYS) -> DataFrame:
+    """Month arrays built in batch up to ``run_date - days``, then one daily step per day.
+
+    Each step replaces the month partition it read (staged first) and the next
+    step reads files, so the plan stays one step deep however many days run.
+    """
+    initial = reduced.metric_build(ev, run_date - dt.timedelta(days=days))
+    return fold.fold(spark, shared_dir(spark, "array_metrics"), initial, _fold_days(run_date, days),
+                     lambda table, d: reduced.metric_step(ev, table, d), "month_start", stage=True)
 
 
 @register("reduced_metric_step")
 def q_reduced_metric_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metric_report(array_metrics_folded(_shifted(spark, sf_dir)))
+    return _metric_report(array_metrics_folded(spark, _shifted(spark, sf_dir)))
 
 
 @register("upsert_by_key")
@@ -438,9 +443,9 @@ def _host_report(t: DataFrame) -> DataFrame:
 def q_reduced_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _shifted(spark, sf_dir)
     start = C.MONTH_RUN_DATE - dt.timedelta(days=C.FOLD_DAYS)
-    table = reduced.host_batch(datelist.host_build(ev, start), from_first_seen=True)
-    for d in _fold_days(C.MONTH_RUN_DATE, C.FOLD_DAYS):
-        table = sinks.upsert(table, reduced.host_step(ev, table, d), _HOST_KEY)
+    initial = reduced.host_batch(datelist.host_build(ev, start), from_first_seen=True)
+    table = fold.fold(spark, shared_dir(spark, "host_activity_reduced"), initial, _fold_days(C.MONTH_RUN_DATE, C.FOLD_DAYS),
+                      lambda t, d: reduced.host_step(ev, t, d), "month", stage=True)
     return _host_report(table)
 
 
@@ -454,7 +459,7 @@ def q_reduced_host_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("reduced_expand")
 def q_reduced_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduced.expand(array_metrics_folded(_shifted(spark, sf_dir)))
+    return reduced.expand(array_metrics_folded(spark, _shifted(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ T1 / T2 / T6

@@ -10,7 +10,7 @@ TABLES = (
 )
 
 # below this many bytes a table is a dimension: spreading it is not worth a shuffle
-_SMALL_TABLE_FILES_BYTES = 1 << 20
+_SMALL_TABLE_FILES_BYTES = 8 << 20
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -18,7 +18,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = False) -> DataFrame:
+               spread: bool = True) -> DataFrame:
     """Read one table; selecting ``columns`` right away keeps the scan's ReadSchema narrow.
 
     ``spread``: a dataset stored as few unsplittable units (e.g. one Parquet row
