@@ -148,3 +148,17 @@ def scd2_expand(scd: DataFrame, key: str = ACTOR_KEY, tracked: Sequence[str] = A
                 period: str = "year", start_col: str = "start_year", end_col: str = "end_year") -> DataFrame:
     """T4: the per-period snapshot regained from SCD2 ranges (narrow: explode of a sequence)."""
     return scd.select(key, *tracked, F.explode(F.sequence(F.col(start_col), F.col(end_col))).alias(period))
+
+
+def scd2_join_as_of(facts: DataFrame, scd: DataFrame, key: str = ACTOR_KEY, period: str = "year",
+                    start_col: str = "start_year", end_col: str = "end_year",
+                    attrs: Sequence[str] = ACTOR_TRACKED, how: str = "left") -> DataFrame:
+    """T4: each fact with the dimension version valid at its period.
+
+    An equi-join on the key with the range as a residual predicate: each key
+    has only a handful of versions, so the join is a hash/sort-merge join on
+    the key, not a range or cross join.
+    """
+    dim = scd.select(F.col(key).alias("_k"), F.col(start_col).alias("_s"), F.col(end_col).alias("_e"), *attrs)
+    cond = (F.col(key) == F.col("_k")) & (F.col("_s") <= F.col(period)) & (F.col(period) <= F.col("_e"))
+    return facts.join(dim, cond, how).drop("_k", "_s", "_e")

@@ -491,3 +491,10 @@ def q_bucketed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_bucketed(gd, table, 8, ["player_id"], path)
     return spark.table(table).groupBy("player_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("pts").alias("total_pts"))
+
+
+@register("scd2_join_as_of")
+def q_scd2_join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each film credit with the actor's SCD2 version valid in the film's year."""
+    films = views.actor_films(spark, sf_dir).select(F.col("actorid").alias("actor_id"), "filmid", "year")
+    return scd.scd2_join_as_of(films, actors_scd(spark, sf_dir))

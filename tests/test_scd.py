@@ -61,3 +61,11 @@ def test_scd_types_and_as_of(spark):
     full = scd.scd2_full(s, 3)
     assert scd.scd2_as_of(full, 2).first().quality_class == "good"
     assert rows(scd.scd2_expand(full), "year", "quality_class") == [(1, "bad"), (2, "good"), (3, "star")]
+
+
+def test_scd2_join_as_of(spark):
+    s = _snaps(spark, [("a", "A", 1, "bad", True), ("a", "A", 2, "good", True), ("a", "A", 3, "good", True)])
+    full = scd.scd2_full(s, 3)
+    facts = spark.createDataFrame([("a", 1, 10), ("a", 3, 30), ("b", 2, 5)], "actor_id string, year int, v int")
+    out = rows(scd.scd2_join_as_of(facts, full), "actor_id", "year", "quality_class")
+    assert out == sorted([("a", 1, "bad"), ("a", 3, "good"), ("b", 2, None)], key=repr)
