@@ -115,13 +115,12 @@ def host_batch(hosts_cumulated: DataFrame, from_first_seen: bool = False) -> Dat
     entries.  ``from_first_seen`` starts each host at the month of its first
     entry (the incremental form never emits earlier months).
     """
-    dates = hosts_cumulated.select(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    last = dates.select("hi").scalar()
-    first_month = dates.select(F.trunc("lo", "MM")).scalar()
+    bounds = hosts_cumulated.select(F.struct(F.trunc(F.min("date"), "MM").alias("m0"), F.max("date").alias("hi"))).scalar()
+    last = bounds["hi"]
     hosts = hosts_cumulated.groupBy("host").agg(
         F.first(F.when(F.col("date") == last, F.col("host_activity_datelist")), ignorenulls=True).alias("_l"))
-    # scalar subqueries are bound to columns here: they may not appear inside higher-order functions
-    hosts = hosts.select("host", "_l", first_month.alias("_m0"), last.alias("_hi"))
+    # the scalar subquery is bound to columns here: it may not appear inside higher-order functions
+    hosts = hosts.select("host", "_l", bounds["m0"].alias("_m0"), last.alias("_hi"))
     start = F.col("_m0")
     if from_first_seen:
         start = F.greatest(start, F.trunc(arrays.first(F.col("_l"))["date"], "MM"))

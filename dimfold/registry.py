@@ -138,8 +138,13 @@ def q_static_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.static_attributes(views.player_seasons(spark, sf_dir))
 
 
-def actors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.history_backfill_avg(views.actor_films(spark, sf_dir))
+def actors(spark: SparkSession, sf_dir: str, with_films: bool = True) -> DataFrame:
+    return history.history_backfill_avg(views.actor_films(spark, sf_dir), with_films=with_films)
+
+
+def actor_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actors snapshots without the film arrays: all that SCD builds read."""
+    return actors(spark, sf_dir, with_films=False)
 
 
 @register("history_backfill_avg")
@@ -156,7 +161,7 @@ def q_history_backfill_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ B: SCD2
 
 def actors_scd(spark: SparkSession, sf_dir: str, cutoff: int = C.SCD_CUTOFF) -> DataFrame:
-    return scd.scd2_full(actors(spark, sf_dir), cutoff)
+    return scd.scd2_full(actor_classes(spark, sf_dir), cutoff)
 
 
 @register("scd2_full")
@@ -166,12 +171,12 @@ def q_scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scd2_incremental")
 def q_scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = actors(spark, sf_dir)
+    a = actor_classes(spark, sf_dir)
     return scd.scd2_incremental(scd.scd2_full(a, C.SCD_CUTOFF), a, C.SCD_CUTOFF, C.NEXT_YEAR)
 
 
 def _branch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    a = actors(spark, sf_dir)
+    a = actor_classes(spark, sf_dir)
     br = scd.scd2_branches(scd.scd2_full(a, C.SCD_CUTOFF), a, C.SCD_CUTOFF, C.NEXT_YEAR)
     return scd.explode_branches(br.where(F.col("branch") == name))
 
@@ -198,17 +203,17 @@ def q_scd2_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scd_type0")
 def q_scd_type0(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd.scd_type0(actors(spark, sf_dir), "actor_id", "year", ["quality_class"])
+    return scd.scd_type0(actor_classes(spark, sf_dir), "actor_id", "year", ["quality_class"])
 
 
 @register("scd_type1")
 def q_scd_type1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd.scd_type1(actors(spark, sf_dir), "actor_id", "year", ["quality_class"])
+    return scd.scd_type1(actor_classes(spark, sf_dir), "actor_id", "year", ["quality_class"])
 
 
 @register("scd_type3")
 def q_scd_type3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd.scd_type3(actors(spark, sf_dir), "actor_id", "year", ["quality_class"])
+    return scd.scd_type3(actor_classes(spark, sf_dir), "actor_id", "year", ["quality_class"])
 
 
 @register("scd2_as_of")
@@ -258,7 +263,7 @@ def q_daily_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("enum_contract")
 def q_enum_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contracts.enum_profile(actors(spark, sf_dir), "quality_class", classify.QUALITY_LABELS)
+    return contracts.enum_profile(actor_classes(spark, sf_dir), "quality_class", classify.QUALITY_LABELS)
 
 
 @register("key_contract")
@@ -453,8 +458,11 @@ def q_reduced_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_reduced_host_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _shifted(spark, sf_dir)
     first_day = ev.select(F.min(F.to_date("event_time"))).scalar()
-    hosts_cumulated = datelist.host_build(ev, first_day).unionByName(datelist.host_build(ev, C.MONTH_RUN_DATE))
-    return _host_report(reduced.host_batch(hosts_cumulated))
+    # hosts_cumulated is a stored table (one partition per snapshot date): its first and its latest snapshot
+    path = shared_dir(spark, "hosts_cumulated")
+    sinks.write_snapshot(datelist.host_build(ev, first_day), path, ["date"])
+    sinks.write_snapshot(datelist.host_build(ev, C.MONTH_RUN_DATE), path, ["date"])
+    return _host_report(reduced.host_batch(sinks.read_snapshot(spark, path)))
 
 
 @register("reduced_expand")
