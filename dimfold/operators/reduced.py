@@ -10,8 +10,6 @@ built with ``transform(sequence(1, days), ...)`` in the same row.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,7 +148,3 @@ def expand(month_table: DataFrame, array_col: str = "metric_array", group: tuple
         x = x.where(F.col("pos") < positions)
     agg = x.groupBy(*group, month_col, "pos").agg(F.sum("v").alias("value"))
     return agg.select(*group, F.date_add(F.col(month_col), F.col("pos")).alias("date"), "value")
-
-
-def days_in_range(start: dt.date, end: dt.date) -> list[dt.date]:
-    return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]

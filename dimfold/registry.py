@@ -401,7 +401,6 @@ def _shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _METRIC_KEY = ["user_id", "month_start", "metric_name"]
-_HOST_KEY = ["month", "host"]
 
 
 def _ints_text(col) -> F.Column:

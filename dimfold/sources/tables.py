@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -9,7 +11,23 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# below this many bytes a table is a dimension: spreading it is not worth a shuffle
+# fixed values: layouts of the driver tables the operators read.  Declaring them
+# skips footer-based schema inference when a query is planned.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+# below this many bytes of Parquet one scan task is fast enough: spreading is not worth a shuffle
 _SMALL_TABLE_FILES_BYTES = 8 << 20
 
 
@@ -27,32 +45,39 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     are spread round-robin over ``defaultParallelism`` partitions.  Large tables on
     a cluster are split into many scan tasks already, so this is a no-op there.
     """
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    reader = spark.read.format("parquet")
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.load(path)
     if columns:
         df = df.select(*columns)
     if spread:
-        df = ensure_parallelism(df)
+        df = ensure_parallelism(df, path)
     return df
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    files_bytes = sum(_input_sizes(df))
-    if files_bytes < _SMALL_TABLE_FILES_BYTES:
+def ensure_parallelism(df: DataFrame, path: str | None = None) -> DataFrame:
+    size = _local_size(path) if path else None
+    if size is not None and size < _SMALL_TABLE_FILES_BYTES:
         return df
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no scan statistics available (e.g. remote session): leave as is
         return df
     return df.repartition(target)
 
 
-def _input_sizes(df: DataFrame) -> list[int]:
-    import os
-    sizes = []
-    for f in df.inputFiles():
-        p = f[len("file:"):] if f.startswith("file:") else f
-        try:
-            sizes.append(os.path.getsize(p))
-        except OSError:
-            return [1 << 40]  # remote store: assume large
-    return sizes
+def _local_size(path: str) -> int | None:
+    """Bytes under a local path; None for remote stores (then the scan's partition count decides)."""
+    p = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in p or not os.path.exists(p):
+        return None
+    if os.path.isfile(p):
+        return os.path.getsize(p)
+    total = 0
+    for root, _, files in os.walk(p):
+        total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+    return total
