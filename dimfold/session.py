@@ -28,6 +28,12 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("DIMFOLD_DRIVER_MEMORY", "16g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Python call-site capture only enriches error messages; it costs a JVM round trip per expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # the UI is off: keep the status store small in long-lived sessions
+        .config("spark.sql.ui.retainedExecutions", "50")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "200")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

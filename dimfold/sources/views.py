@@ -89,49 +89,43 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x supplier as box scores: game = order, player = supplier, team = supplier nation.
 
     (order, supplier) repeats inside an order, so the feed carries natural duplicates.
+    The projection is one ``selectExpr`` (parsed once on the JVM side).
     """
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    qty = _int(F.col("l_quantity"))
-    ln = F.col("l_linenumber")
-    comment = (
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("DNP - Coach's Decision"))
-        .when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"), F.lit("DND - Injury/Illness"))
-        .when((F.col("l_returnflag") == "A") & (ln == 7), F.lit("NWT - Not With Team"))
-    )
-    minutes = (
-        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
-        .when(ln == 7, F.lit(""))
-        .when(ln == 6, qty.cast("string"))
-        .otherwise(F.concat(qty.cast("string"), F.lit(":"), F.lpad((ln * 8).cast("string"), 2, "0")))
-    )
-    j = li.join(s, li.l_suppkey == s.s_suppkey)
-    return j.select(
-        F.col("l_orderkey").alias("game_id"),
-        F.col("s_nationkey").alias("team_id"),
-        F.concat(F.lit("T"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("team_abbreviation"),
-        F.col("l_suppkey").alias("player_id"),
-        F.col("s_name").alias("player_name"),
-        F.when(ln == 1, "C").when(ln == 2, "F").when(ln == 3, "G").alias("start_position"),
-        comment.alias("comment"),
-        minutes.alias("min"),
-        (qty / 3).cast("int").alias("fgm"),
-        ((qty / 3).cast("int") * 2 + ln).alias("fga"),
-        (ln / 2).cast("int").alias("fg3m"),
-        ln.alias("fg3a"),
-        _int(F.round(F.col("l_tax") * 100)).alias("ftm"),
-        (_int(F.round(F.col("l_tax") * 100)) + 1).alias("fta"),
-        ln.alias("oreb"),
-        _int(F.round(F.col("l_discount") * 100)).alias("dreb"),
-        (ln + _int(F.round(F.col("l_discount") * 100))).alias("reb"),
-        _int(F.pmod(qty, F.lit(7))).alias("ast"),
-        _int(F.pmod(qty, F.lit(3))).alias("stl"),
-        _int(F.pmod(qty + ln, F.lit(4))).alias("blk"),
-        _int(F.pmod(ln * 3, F.lit(5))).alias("TO"),
-        _int(F.pmod(qty, F.lit(6))).alias("pf"),
-        qty.alias("pts"),
-        (qty - 25).alias("plus_minus"),
+    j = li.join(s, li.l_suppkey == s.s_suppkey).selectExpr(
+        "*", "CAST(l_quantity AS INT) AS qty", "l_linenumber AS ln",
+        "CAST(round(l_tax * 100) AS INT) AS tax100", "CAST(round(l_discount * 100) AS INT) AS disc100")
+    return j.selectExpr(
+        "l_orderkey AS game_id",
+        "s_nationkey AS team_id",
+        "concat('T', lpad(CAST(s_nationkey AS STRING), 2, '0')) AS team_abbreviation",
+        "l_suppkey AS player_id",
+        "s_name AS player_name",
+        "CASE ln WHEN 1 THEN 'C' WHEN 2 THEN 'F' WHEN 3 THEN 'G' END AS start_position",
+        """CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'DNP - Coach''s Decision'
+                WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'DND - Injury/Illness'
+                WHEN l_returnflag = 'A' AND ln = 7 THEN 'NWT - Not With Team' END AS comment""",
+        """CASE WHEN l_returnflag = 'R' THEN CAST(NULL AS STRING) WHEN ln = 7 THEN ''
+                WHEN ln = 6 THEN CAST(qty AS STRING)
+                ELSE concat(CAST(qty AS STRING), ':', lpad(CAST(ln * 8 AS STRING), 2, '0')) END AS min""",
+        "CAST(qty / 3 AS INT) AS fgm",
+        "CAST(qty / 3 AS INT) * 2 + ln AS fga",
+        "CAST(ln / 2 AS INT) AS fg3m",
+        "ln AS fg3a",
+        "tax100 AS ftm",
+        "tax100 + 1 AS fta",
+        "ln AS oreb",
+        "disc100 AS dreb",
+        "ln + disc100 AS reb",
+        "pmod(qty, 7) AS ast",
+        "pmod(qty, 3) AS stl",
+        "pmod(qty + ln, 4) AS blk",
+        "pmod(ln * 3, 5) AS `TO`",
+        "pmod(qty, 6) AS pf",
+        "qty AS pts",
+        "qty - 25 AS plus_minus",
     )
 
 

@@ -51,3 +51,15 @@ def test_bucketize_is_balanced(spark):
     ranges = b.groupBy("bucket").agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi")) \
               .orderBy("bucket").collect()
     assert all(ranges[i].hi < ranges[i + 1].lo for i in range(4))
+
+
+def test_scd2_step_on_bucketed_tables_needs_no_exchange(spark):
+    """Co-located storage: SCD rows and snapshots bucketed by the entity key join without a shuffle."""
+    snaps = history.history_backfill_avg(views.actor_films(spark, SF_TINY), with_films=False)
+    full = scd.scd2_full(snaps, 2000)
+    tag = shared_dir(spark, "t_colocated").rsplit("/", 1)[-1]
+    sinks.write_bucketed(full, f"scd_{tag}", 8, ["actor_id"], shared_dir(spark, "t_scd_b"))
+    sinks.write_bucketed(snaps, f"snap_{tag}", 8, ["actor_id"], shared_dir(spark, "t_snap_b"))
+    step = scd.scd2_incremental(spark.table(f"scd_{tag}"), spark.table(f"snap_{tag}"), 2000, 2001)
+    assert inspect.exchanges(step) == 0
+    assert step.count() == scd.scd2_incremental(full, snaps, 2000, 2001).count()
