@@ -34,6 +34,8 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.ui.retainedExecutions", "50")
         .config("spark.ui.retainedJobs", "100")
         .config("spark.ui.retainedStages", "200")
+        # release shuffle files and broadcasts of finished queries promptly in long-lived sessions
+        .config("spark.cleaner.periodicGC.interval", "1min")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
