@@ -273,18 +273,24 @@ def q_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ E: graph
 
-def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def graph_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All vertices and all edges, built from one box-score DataFrame (identical sub-plans are reused)."""
     gd = views.game_details(spark, sf_dir)
-    return (
+    v = (
         graph.game_vertices(views.games(spark, sf_dir))
         .unionByName(graph.player_vertices(gd))
         .unionByName(graph.team_vertices(views.teams(spark, sf_dir)))
     )
+    e = graph.plays_in_edges(gd).unionByName(graph.pair_edges(gd))
+    return v, e
+
+
+def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_tables(spark, sf_dir)[0]
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gd = views.game_details(spark, sf_dir)
-    return graph.plays_in_edges(gd).unionByName(graph.pair_edges(gd))
+    return graph_tables(spark, sf_dir)[1]
 
 
 def _fields(df: DataFrame, keep: list[str], keys: list[str]) -> DataFrame:
@@ -326,12 +332,12 @@ def q_graph_edges_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("graph_max_property")
 def q_graph_max_property(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.max_property(vertices(spark, sf_dir), edges(spark, sf_dir))
+    return graph.max_property(*graph_tables(spark, sf_dir))
 
 
 @register("graph_pair_vs_career")
 def q_graph_pair_vs_career(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.pair_vs_career(vertices(spark, sf_dir), edges(spark, sf_dir))
+    return graph.pair_vs_career(*graph_tables(spark, sf_dir))
 
 
 @register("map_properties")
