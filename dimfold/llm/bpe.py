@@ -14,19 +14,19 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.chunks import ChunkCache
+from dimfold.llm.chunks import GROUP_BYTES, ChunkCache
+from dimfold.llm.common import slices, utf8
 
 SHORT = 128
 # fixed value: the byte-level pre-tokenizer's pattern
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-OUT_TOKENS = 1 << 20        # ids sent back to Spark at once
 
 
 def byte_letters() -> dict[str, int]:
@@ -51,6 +51,9 @@ class RankedBpe:
             self.bytes[i] = bytes(letters[c] for c in word)
         for word, i in self.special.items():
             self.bytes[i] = word.encode()
+        self.size = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.of_byte = [0] * 256
         for letter, b in letters.items():
             self.of_byte[b] = vocab[letter]
@@ -116,8 +119,13 @@ class RankedBpe:
             at = m.end()
         return out + self.plain(text[at:])
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        """Text of ids: their bytes are gathered from the flat vocabulary."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(self.start[ids] - ends + size, size)
+        return self.flat[at].tobytes().decode("utf-8", "replace")
 
 
 _LOADED: dict[str, tuple[RankedBpe, ChunkCache]] = {}
@@ -128,7 +136,8 @@ def loaded(path: str) -> tuple[RankedBpe, ChunkCache]:
     if path not in _LOADED:
         bpe = RankedBpe(path)
         special = next(iter(bpe.special), "\0")
-        _LOADED[path] = bpe, ChunkCache(lambda xs: [tuple(bpe.plain(x)) for x in xs], lambda x: tuple(bpe.encode(x)), special)
+        raw = lambda ids: np.array(ids, "<i4").tobytes()
+        _LOADED[path] = bpe, ChunkCache(lambda xs: [raw(bpe.plain(x)) for x in xs], lambda x: raw(bpe.encode(x)), special, "<i4")
     return _LOADED[path]
 
 
@@ -138,21 +147,14 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches):
         bpe, cache = loaded(tokenizer)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            rows, back, start, size = [], [], 0, 0
-            for n, text in enumerate(texts, 1):
-                ids = [i for piece in cache.pieces(text or "") for i in piece]
-                rows.append(pa.array(ids, pa.int32()))
-                size += len(ids)
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(data, offsets, GROUP_BYTES):
+                ids, counts = cache.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                arrays = [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
                 if decoded:
-                    back.append(bpe.decode(ids))
-                if size >= OUT_TOKENS or n == len(texts):
-                    lengths = pa.array([0, *map(len, rows)], pa.int32())
-                    offsets = pa.compute.cumulative_sum(lengths)
-                    column = pa.ListArray.from_arrays(offsets, pa.concat_arrays(rows))
-                    arrays = [keys.slice(start, n - start), column] + ([pa.array(back, pa.string())] if decoded else [])
-                    yield pa.RecordBatch.from_arrays(arrays, ["id", "ids", "decoded"][: len(arrays)])
-                    rows, back, start, size = [], [], n, 0
+                    arrays.append(pa.array([bpe.decode(ids[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "ids", "decoded"][: len(arrays)])
 
     schema = f"`{id_col}` long, ids array<int>" + (", decoded string" if decoded else "")
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
@@ -164,7 +166,7 @@ def decode(tokens: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: s
     def run(batches):
         bpe, _ = loaded(tokenizer)
         for batch in batches:
-            texts = [bpe.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            texts = [bpe.decode(np.array(ids or [], np.int32)) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     return tokens.select(F.col(id_col).cast("long"), F.col(ids_col).cast("array<int>")).mapInArrow(run, f"`{id_col}` long, text string")

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dimfold.llm.chunks import library_cache
-from dimfold.llm.common import get_file, put_file, stored
+from dimfold.llm.chunks import GROUP_BYTES, library_cache
+from dimfold.llm.common import get_file, put_file, slices, stored, utf8
 from dimfold.session import shared_dir
 
 BLOCK_BYTES = 4 << 20
@@ -47,14 +47,19 @@ def write_flat(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_
                 [pa.array([uri] * len(ids)), pa.array(range(len(ids)), pa.int64()), pa.array(ids, pa.int64())], ["file", "k", "doc_id"])
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                piece = b"".join(cache.pieces(text or ""))
-                buffer += [piece, end]
-                size += len(piece) + len(end)
-                ids.append(i)
-                if size >= flush_bytes:
-                    yield flush()
-                    buffer, size, ids, file = [], 0, [], file + 1
+            keys = batch.column(0).to_pylist()
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(data, offsets, GROUP_BYTES):
+                found, counts = cache.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+                at = 0
+                for i, n in zip(range(a, b), counts.tolist(), strict=True):
+                    buffer += [found[at: at + n].tobytes(), end]
+                    at += n
+                    size += (n + 1) * len(end)
+                    ids.append(keys[i])
+                    if size >= flush_bytes:
+                        yield flush()
+                        buffer, size, ids, file = [], 0, [], file + 1
         if ids:
             yield flush()
 

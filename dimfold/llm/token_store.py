@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dimfold.llm.chunks import library_cache
-from dimfold.llm.common import MIN_LONG, Ranges, get_file, partitions, put_file, stored
+from dimfold.llm.chunks import GROUP_BYTES, library_cache
+from dimfold.llm.common import MIN_LONG, Ranges, get_file, partitions, put_file, slices, stored, utf8
 from dimfold.session import shared_dir
 
 MAGIC = b"DACTOK01"
@@ -138,16 +138,21 @@ def write_store(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_co
                                               ["part", "seq", "uri", "n_docs", "n_tokens"])
 
         for batch in batches:
-            for k, text, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                piece = b"".join([*cache.pieces(text or ""), end])
-                part = p
-                buffer.append(piece)
-                keys.append(MIN_LONG if k is None else k)
-                counts.append(len(piece) // 4)
-                size += len(piece) // 4
-                if size >= file_tokens:
-                    yield flush()
-                    seq, keys, counts, buffer, size = seq + 1, [], [], [], 0
+            ids, ranges_of = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(data, offsets, GROUP_BYTES):
+                found, per = cache.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+                at = 0
+                for i, n in zip(range(a, b), per.tolist(), strict=True):
+                    part = ranges_of[i]
+                    buffer += [found[at: at + n].tobytes(), end]
+                    at += n
+                    keys.append(MIN_LONG if ids[i] is None else ids[i])
+                    counts.append(n + 1)
+                    size += n + 1
+                    if size >= file_tokens:
+                        yield flush()
+                        seq, keys, counts, buffer, size = seq + 1, [], [], [], 0
         if keys:
             yield flush()
 
