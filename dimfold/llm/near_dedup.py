@@ -34,7 +34,7 @@ COMMON = 0.01
 DEPTH, WIDTH = 2, 1 << 18
 BINS, BANDS = 64, 16
 ROUNDS = 3
-CHUNK_DOCS = 500            # pairs of texts compared per leader row, see ``_with_texts``
+CHUNK_DOCS = 500            # pairs of a leader compared in one run, see ``verified``
 
 
 # --------------------------------------------------------------------------- document frequencies
@@ -194,10 +194,12 @@ def verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
     A leader a may be in very many pairs: its pairs are cut into runs of at most about CHUNK_DOCS by a hash of b,
     and its features are repeated once per run, so no task gets all pairs of a leader.
     """
-    runs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK_DOCS).cast("int").alias("runs"))
-    leaders = (runs.join(features.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("w").alias("wa")), "a")
-               .withColumn("run", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).select("a", "run", "fa", "wa"))
-    cut = pairs.join(runs, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("runs")).cast("int").alias("run"))
+    long = stored(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK_DOCS)
+                  .select("a", F.ceil(F.col("n") / CHUNK_DOCS).cast("int").alias("runs")), "long-leaders")      # one row in CHUNK_DOCS pairs at most
+    long = small_or_shuffled(long)
+    leaders = (features.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("w").alias("wa")).join(long, "a", "left")
+               .withColumn("run", F.explode(F.sequence(F.lit(0), F.coalesce("runs", F.lit(1)) - 1))).select("a", "run", "fa", "wa"))
+    cut = pairs.join(long, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("runs", F.lit(1))).cast("int").alias("run"))
     both = (cut.join(features.select(F.col("id").alias("b"), F.col("f").alias("fb"), F.col("w").alias("wb")), "b")
             .join(leaders, ["a", "run"]).select("a", "b", "fa", "wa", "fb", "wb"))
 
