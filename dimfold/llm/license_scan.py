@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dimfold.llm.common import stored
+
 # fixed values: the base phrases and their labels
 BASE = (("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved"))
 # own templates: label, words
@@ -66,7 +68,7 @@ def templates(spark: SparkSession, base: Sequence[tuple[str, str]], extra: Seque
 def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, extra: Sequence[tuple[str, str]] = EXTRA,
          id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(spans, texts): spans (row, doc_id, label, base, first, last, cover), texts (row, doc_id, n_words)."""
-    hits = _hits(docs, base, extra, id_col, text_col)
+    hits = stored(_hits(docs, base, extra, id_col, text_col), "license-hits")
     return _spans(hits), hits.where("t < 0").select("row", "doc_id", F.col("pos").cast("long").alias("n_words"))
 
 
@@ -101,7 +103,7 @@ def _spans(hits: DataFrame) -> DataFrame:
 
 def scan_documents(docs: DataFrame) -> DataFrame:
     """Query: words, base places and labels of every text."""
-    hits = _hits(docs, BASE, EXTRA, "doc_id", "text")
+    hits = stored(_hits(docs, BASE, EXTRA, "doc_id", "text"), "license-hits")     # read twice; writing fixes the row numbers
     # spans and markers meet in one grouping by text: (row, doc_id) hash once
     spans = _spans(hits).select("row", "doc_id", "label", "base", "first", "cover", "accepted", F.lit(None).cast("long").alias("n_words"))
     marks = hits.where("t < 0").select("row", "doc_id", F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(None).cast("int").alias("first"),
