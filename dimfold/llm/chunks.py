@@ -17,10 +17,10 @@ import numpy as np
 from dimfold.llm.common import SLICE, _powers, mix
 
 #: chunks kept in a worker (some 200 bytes each); once full, others are encoded once per batch
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 450_000
 LONG_CHUNK = 64
 JOINED = 500              # chunks that the library encodes in one call
-GROUP_BYTES = 8 << 20     # bytes of text handled together
+GROUP_BYTES = 4 << 20     # bytes of text handled together
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 # fixed values: first bytes of UTF-8 white space outside ASCII

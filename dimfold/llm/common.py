@@ -24,13 +24,17 @@ from pyspark.sql import types as T
 from dimfold.session import shared_dir
 
 MIN_LONG = -(1 << 63)
+ARROW_ROWS = 2000
 
 
 # --------------------------------------------------------------------------- tables
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per context: they may not have it on their path."""
+    """Prepare a session: send this package to the Python workers (they may not have it on their path), once per context,
+    and let Arrow batches hold fewer rows than the default, as texts are long."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     if getattr(sc, "_dimfold_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -149,7 +153,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-SLICE = 1 << 20          # bytes hashed at once: bounds the temporary arrays
+SLICE = 1 << 18          # bytes hashed at once: bounds the temporary arrays
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POW: list[np.ndarray] = []
 
@@ -267,7 +271,7 @@ class Words:
         return d, h
 
 
-def slices(data: np.ndarray, offsets: np.ndarray, size: int = 4 * SLICE) -> Iterator[tuple[int, int]]:
+def slices(data: np.ndarray, offsets: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs of whole documents of about ``size`` bytes: (first, end)."""
     a, n = 0, len(offsets) - 1
     while a < n:

@@ -103,7 +103,7 @@ def fingerprints(texts: list[str]) -> list[Fingerprint]:
     pieces, owner = [], []
     for i, raw in enumerate(raws):
         at = 0
-        while len(raw) - at > SLICE and (cut := raw.rfind(b"\n", at, at + SLICE) + 1) > at:
+        while len(raw) - at > 4 * SLICE and (cut := raw.rfind(b"\n", at, at + 4 * SLICE) + 1) > at:
             pieces.append(raw[at:cut])
             owner.append(i)
             at = cut
@@ -113,7 +113,7 @@ def fingerprints(texts: list[str]) -> list[Fingerprint]:
     a = 0
     while a < len(pieces):
         b, size = a, 0
-        while b < len(pieces) and (b == a or size + len(pieces[b]) <= 2 * SLICE):
+        while b < len(pieces) and (b == a or size + len(pieces[b]) <= 8 * SLICE):
             size += len(pieces[b])
             b += 1
         np.add.at(wide, owner[a:b], _wide(pieces[a:b]))
@@ -183,7 +183,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
             for i, text, extra in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if done:
                     continue
-                if group and (extra or len(group) >= _GROUP or size >= 2 * SLICE):
+                if group and (extra or len(group) >= _GROUP or size >= 8 * SLICE):
                     yield rows_of(text)
                     group, size = [], 0
                 if extra:       # the first of the extra rows is the next document of the last own one
