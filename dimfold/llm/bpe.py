@@ -25,6 +25,7 @@ from dimfold.llm.chunks import GROUP_BYTES, ChunkCache
 from dimfold.llm.common import slices, utf8
 
 SHORT = 128
+CACHE_CHUNKS = 150_000
 # fixed value: the byte-level pre-tokenizer's pattern
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -137,7 +138,7 @@ def loaded(path: str) -> tuple[RankedBpe, ChunkCache]:
         bpe = RankedBpe(path)
         special = next(iter(bpe.special), "\0")
         raw = lambda ids: np.array(ids, "<i4").tobytes()
-        _LOADED[path] = bpe, ChunkCache(lambda xs: [raw(bpe.plain(x)) for x in xs], lambda x: raw(bpe.encode(x)), special, "<i4")
+        _LOADED[path] = bpe, ChunkCache(lambda xs: [raw(bpe.plain(x)) for x in xs], lambda x: raw(bpe.encode(x)), special, "<i4", CACHE_CHUNKS)
     return _LOADED[path]
 
 

@@ -279,6 +279,7 @@ def slices(data: np.ndarray, offsets: np.ndarray, size: int = 1 << 20) -> Iterat
         b = min(max(b, a + 1), n, a + (1 << 20) - 1)
         yield a, b
         a = b
+    pa.default_memory_pool().release_unused()       # a worker lives on: what the batch took goes back
 
 
 def counted(docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
