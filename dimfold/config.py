@@ -11,6 +11,9 @@ NEXT_YEAR = 2001           # ... then one incremental step
 RUN_DATE = dt.date(2024, 1, 30)
 FOLD_DAYS = 3              # snapshot of RUN_DATE - 3 built in batch, then 3 daily steps
 
-# month arrays: events shifted so the fold crosses a month boundary
-MONTH_SHIFT_DAYS = 15
+# month arrays: events shifted so that their last day is the run date and the fold crosses a month boundary
+MONTH_SHIFT_DAYS = 3
 MONTH_RUN_DATE = dt.date(2024, 2, 2)
+
+# stream de-duplication: the landing folder receives this many time slices, one after the other
+LANDING_SLICE_DAYS = 5

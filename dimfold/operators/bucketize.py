@@ -1,29 +1,39 @@
 """Distribution-informed bucketing (operator T2).
 
-Cut points are approximate quantiles (``percentile_approx``, a mergeable sketch
-with bounded memory per task, computed once as a scalar subquery); each row's
-bucket is the number of cuts below its value plus one.  No global sort, no
-single-partition window (``ntile`` over the whole table would put every row in
-one task).
+Cut points are exact quantiles.  Values are counted first (partial aggregation), the distinct values are dealt into
+ranges by an approximate sketch, running counts are taken within each range and the ranges' totals are added up over
+the few ranges, so no task sorts the whole column.  Each row's bucket is the number of cuts below its value plus one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+RANGES = 64
 
-def quantile_cuts(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> Column:
-    """Scalar-subquery column holding the ``n_buckets - 1`` inner cut points."""
+
+def quantile_cuts(df: DataFrame, col: str, n_buckets: int, ranges: int = RANGES) -> DataFrame:
+    """(b, cut): for b = 1 .. n_buckets - 1 the least value with at least b / n_buckets of the values at or below it."""
     if not 2 <= n_buckets <= 100:
         raise ValueError("n_buckets must be in [2, 100]")
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    return df.select(F.percentile_approx(F.col(col), probs, accuracy)).scalar()
-
-
-def bucketize(df: DataFrame, col: str, n_buckets: int = 5, out: str = "bucket", accuracy: int = 10000) -> DataFrame:
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    bounds = df.select(F.percentile_approx(F.col(col), [i / ranges for i in range(1, ranges)], 20 * ranges)).scalar()
+    dealt = counts.select("v", "n", bounds.alias("q")).select("v", "n", F.size(F.filter("q", lambda c: F.col("v") > c)).alias("r"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = dealt.withColumn("run", F.sum("n").over(upto(Window.partitionBy("r").orderBy("v"))))
+    totals = dealt.groupBy("r").agg(F.sum("n").alias("t"))                      # at most ``ranges`` rows
+    totals = totals.select("r", (F.sum("t").over(upto(Window.orderBy("r"))) - F.col("t")).alias("base"), F.sum("t").over(Window.partitionBy()).alias("all"))
+    placed = within.join(F.broadcast(totals), "r").select("v", "n", (F.col("base") + F.col("run")).alias("i"), "all")
+    # the cuts whose place falls on this value's rows
+    steps = F.filter(F.sequence(F.lit(1), F.lit(n_buckets - 1)),
+                     lambda b: (F.col("i") * n_buckets >= F.col("all") * b) & ((F.col("i") - F.col("n")) * n_buckets < F.col("all") * b))
+    return placed.select(F.explode(steps).alias("b"), F.col("v").alias("cut"))
+
+
+def bucketize(df: DataFrame, col: str, n_buckets: int = 5, out: str = "bucket") -> DataFrame:
     """1-based bucket of ``col``; a value equal to a cut falls in the lower bucket; NULL stays NULL."""
-    cuts = quantile_cuts(df, col, n_buckets, accuracy)
+    cuts = quantile_cuts(df, col, n_buckets).agg(F.collect_list("cut")).scalar()       # n_buckets - 1 values
     with_cuts = df.withColumn("_cuts", cuts)
     v = F.col(col)
     bucket = F.when(v.isNotNull(), F.size(F.filter("_cuts", lambda c: v > c)) + 1)

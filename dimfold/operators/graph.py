@@ -86,15 +86,22 @@ def plays_in_edges(details: DataFrame) -> DataFrame:
     )
 
 
+#: parts that the pairs of one game are dealt into
+PAIR_SALTS = 16
+
+
 def pair_edges(details: DataFrame) -> DataFrame:
     """E5: player-player edges per co-played game, one direction (id1 > id2).
 
     ``shares_team`` when both were on the same team in that game, otherwise
     ``plays_against``; properties count the games and sum each side's points.
+    A game's pairs are spread over ``PAIR_SALTS`` tasks: one side is dealt out by
+    player, the other repeated, so a game with very many players is split.
     """
     d = player_game_rows(details).select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    a, b = d.alias("a"), d.alias("b")
-    pairs = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a.player_id") > F.col("b.player_id")))
+    a = d.withColumn("salt", F.pmod(F.xxhash64("player_id"), F.lit(PAIR_SALTS)).cast("int")).alias("a")
+    b = d.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PAIR_SALTS - 1)))).alias("b")
+    pairs = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.player_id") > F.col("b.player_id")))
     label = F.when(F.col("a.team_abbreviation") == F.col("b.team_abbreviation"), F.lit("shares_team")).otherwise(
         F.lit("plays_against"))
     agg = pairs.groupBy(

@@ -10,15 +10,30 @@ failed job never leaves the table without its source.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimfold.session import shared_dir
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """H1: insert-or-replace by key (``on conflict do update`` as anti-join + union)."""
-    return existing.join(incoming.select(*keys).distinct(), list(keys), "left_anti").unionByName(incoming)
+    """H1: insert-or-replace by key: one full outer join, the incoming row where there is one.
+
+    A key that comes in twice is an error, as for an insert with a conflict clause.  Null keys never
+    conflict, so such rows are all kept.
+    """
+    row = F.struct(*[F.col(c) for c in existing.columns])
+    rest = incoming.select(*existing.columns)
+    null_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    new = rest.where(~null_key).groupBy(*keys).agg(F.first(row).alias("_new"), F.count(F.lit(1)).alias("_n"))
+    new = new.select(*keys, F.when(F.col("_n") == 1, F.col("_new")).otherwise(
+        F.raise_error(F.lit("a key comes in more than once"))).alias("_new"))
+    old = existing.where(~null_key).select(*keys, row.alias("_old"))
+    merged = old.join(new, list(keys), "full_outer").select(F.coalesce("_new", "_old").alias("_r")).select("_r.*")
+    return merged.unionByName(existing.where(null_key)).unionByName(rest.where(null_key))
 
 
 def write_snapshot(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
@@ -45,5 +60,6 @@ def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> Data
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, keys: Sequence[str], path: str) -> None:
     """Pre-shuffle a fact by key into a bucketed table (later group-bys/joins on ``keys`` skip the exchange)."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    # one writer per bucket: without the shuffle every task would write a file for each bucket
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
        .option("path", path).saveAsTable(table))

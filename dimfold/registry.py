@@ -51,6 +51,13 @@ def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_events(ev).select("event_id", "user_id", "device_id", "host", "event_type", "event_time")
 
 
+@register("dedup_events_host")
+def q_dedup_events_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of known devices, one per (host, time, user, device)."""
+    ev = views.events(spark, sf_dir).where("user_id is not null")
+    return dedup.dedup_events(ev, dedup.HOST_EVENT_KEY).select("event_id", "user_id", "device_id", "host", "event_type", "event_time")
+
+
 # ------------------------------------------------------------------ F: date lists
 
 def users_cumulated_folded(spark: SparkSession, sf_dir: str, run_date: dt.date = C.RUN_DATE,
@@ -118,7 +125,8 @@ def _players_at_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("history_explode")
 def q_history_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.history_explode(_players_at_last(spark, sf_dir))
+    ps = views.player_seasons(spark, sf_dir)
+    return history.history_explode(history.history_backfill(ps, C.FIRST_YEAR, C.NEXT_YEAR))
 
 
 @register("history_first_last")
@@ -216,6 +224,12 @@ def q_scd_type3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd_type3(actor_classes(spark, sf_dir), "actor_id", "year", ["quality_class"])
 
 
+@register("scd2_point_in_time")
+def q_scd2_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions valid in one period, of the run that ends after it."""
+    return scd.scd2_as_of(actors_scd(spark, sf_dir, C.NEXT_YEAR), C.SCD_CUTOFF - 1).select("actor_id", "quality_class", "is_active")
+
+
 @register("scd2_as_of")
 def q_scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_expand(actors_scd(spark, sf_dir))
@@ -402,8 +416,9 @@ def q_snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ G / H1: reduced facts
 
-def _shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.events(spark, sf_dir, shift_days=C.MONTH_SHIFT_DAYS)
+def _shifted(spark: SparkSession, sf_dir: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Events on the moved clock; a day range reaches the scan."""
+    return views.events(spark, sf_dir, shift_days=C.MONTH_SHIFT_DAYS, first=first, last=last)
 
 
 _METRIC_KEY = ["user_id", "month_start", "metric_name"]
@@ -418,28 +433,30 @@ def _metric_report(t: DataFrame) -> DataFrame:
                     _ints_text(F.col("metric_array")).alias("metric_values"))
 
 
-def array_metrics_folded(spark: SparkSession, ev: DataFrame, run_date: dt.date = C.MONTH_RUN_DATE,
+def array_metrics_folded(spark: SparkSession, sf_dir: str, run_date: dt.date = C.MONTH_RUN_DATE,
                          days: int = C.FOLD_DAYS) -> DataFrame:
     """Month arrays built in batch up to ``run_date - days``, then one daily step per day.
 
-    Each step replaces the month partition it read (staged first) and the next
-    step reads files, so the plan stays one step deep however many days run.
+    Each step reads the events of its day alone, replaces the month partition it
+    read (staged first), and the next step reads files, so the plan stays one step
+    deep however many days run.
     """
-    initial = reduced.metric_build(ev, run_date - dt.timedelta(days=days))
+    start = run_date - dt.timedelta(days=days)
+    initial = reduced.metric_build(_shifted(spark, sf_dir, last=start), start)
     return fold.fold(spark, shared_dir(spark, "array_metrics"), initial, _fold_days(run_date, days),
-                     lambda table, d: reduced.metric_step(ev, table, d), "month_start", stage=True)
+                     lambda table, d: reduced.metric_step(_shifted(spark, sf_dir, d, d), table, d), "month_start", stage=True)
 
 
 @register("reduced_metric_step")
 def q_reduced_metric_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metric_report(array_metrics_folded(spark, _shifted(spark, sf_dir)))
+    return _metric_report(array_metrics_folded(spark, sf_dir))
 
 
 @register("upsert_by_key")
 def q_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _shifted(spark, sf_dir)
-    existing = reduced.metric_build(ev, C.MONTH_RUN_DATE - dt.timedelta(days=1))
-    incoming = reduced.metric_step(ev, existing, C.MONTH_RUN_DATE)
+    before = C.MONTH_RUN_DATE - dt.timedelta(days=1)
+    existing = sinks.materialize(spark, reduced.metric_build(_shifted(spark, sf_dir, last=before), before), "array_metrics")
+    incoming = reduced.metric_step(_shifted(spark, sf_dir, C.MONTH_RUN_DATE, C.MONTH_RUN_DATE), existing, C.MONTH_RUN_DATE)
     return _metric_report(sinks.upsert(existing, incoming, _METRIC_KEY))
 
 
@@ -451,11 +468,10 @@ def _host_report(t: DataFrame) -> DataFrame:
 
 @register("reduced_host_step")
 def q_reduced_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _shifted(spark, sf_dir)
     start = C.MONTH_RUN_DATE - dt.timedelta(days=C.FOLD_DAYS)
-    initial = reduced.host_batch(datelist.host_build(ev, start), from_first_seen=True)
+    initial = reduced.host_batch(datelist.host_build(_shifted(spark, sf_dir, last=start), start), from_first_seen=True)
     table = fold.fold(spark, shared_dir(spark, "host_activity_reduced"), initial, _fold_days(C.MONTH_RUN_DATE, C.FOLD_DAYS),
-                      lambda t, d: reduced.host_step(ev, t, d), "month", stage=True)
+                      lambda t, d: reduced.host_step(_shifted(spark, sf_dir, d, d), t, d), "month", stage=True)
     return _host_report(table)
 
 
@@ -472,20 +488,32 @@ def q_reduced_host_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("reduced_expand")
 def q_reduced_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduced.expand(array_metrics_folded(spark, _shifted(spark, sf_dir)))
+    return reduced.expand(array_metrics_folded(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ T1 / T2 / T6
 
 @register("dedup_stream")
 def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events (with their re-delivered copies) landed as files, de-duplicated by a streaming query."""
+    """Events (with their re-delivered copies) landed in time order, de-duplicated by a streaming query.
+
+    The landing folder receives one time slice after the other; within a slice rows have no order, so the
+    watermark's delay is a slice and a day.  A trigger reads about a slice of files.
+    """
     ev = views.events(spark, sf_dir)
     landing = shared_dir(spark, "events_landing")
-    ev.write.parquet(landing)
+    span = ev.agg(F.min(F.to_date("event_time")).alias("lo"), F.max(F.to_date("event_time")).alias("hi")).first()
+    slices = 0
+    while span.lo is not None and (day := span.lo + dt.timedelta(days=slices * C.LANDING_SLICE_DAYS)) <= span.hi:
+        views.events(spark, sf_dir, first=day, last=day + dt.timedelta(days=C.LANDING_SLICE_DAYS - 1)).write.mode("append").parquet(landing)
+        slices += 1
+    if not slices:
+        ev.write.parquet(landing)
+    files = len(spark.read.schema(ev.schema).parquet(landing).inputFiles())
     out = stream_dedup.run_dedup(
-        spark, landing, ev.schema, dedup.EVENT_KEY, "event_time", "1 hour",
-        out_path=shared_dir(spark, "events_dedup"), checkpoint=shared_dir(spark, "events_dedup_ckpt"))
+        spark, landing, ev.schema, dedup.EVENT_KEY, "event_time", f"{C.LANDING_SLICE_DAYS + 1} days",
+        out_path=shared_dir(spark, "events_dedup"), checkpoint=shared_dir(spark, "events_dedup_ckpt"),
+        max_files_per_trigger=max(1, files // max(1, slices)))
     return out.select("event_id", "user_id", "device_id", "host", "event_type", "event_time")
 
 
@@ -501,7 +529,7 @@ def q_bucketed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     gd = views.game_details(spark, sf_dir)
     path = shared_dir(spark, "gd_bucketed")
     table = "gd_bucketed_" + path.rsplit("/", 1)[-1]
-    sinks.write_bucketed(gd, table, 8, ["player_id"], path)
+    sinks.write_bucketed(gd, table, int(spark.conf.get("spark.sql.shuffle.partitions")), ["player_id"], path)
     return spark.table(table).groupBy("player_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("pts").alias("total_pts"))
 
@@ -510,4 +538,4 @@ def q_bucketed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scd2_join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each film credit with the actor's SCD2 version valid in the film's year."""
     films = views.actor_films(spark, sf_dir).select(F.col("actorid").alias("actor_id"), "filmid", "year")
-    return scd.scd2_join_as_of(films, actors_scd(spark, sf_dir))
+    return scd.scd2_join_as_of(films, actors_scd(spark, sf_dir, C.NEXT_YEAR))

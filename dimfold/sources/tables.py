@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -27,57 +25,17 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
-# below this many bytes of Parquet one scan task is fast enough: spreading is not worth a shuffle
-_SMALL_TABLE_FILES_BYTES = 8 << 20
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Read one table; selecting ``columns`` right away keeps the scan's ReadSchema narrow.
 
-    ``spread``: a dataset stored as few unsplittable units (e.g. one Parquet row
-    group) is scanned by fewer tasks than the session can run at once, and every
-    operator before the first shuffle inherits that.  In that case only, the rows
-    are spread round-robin over ``defaultParallelism`` partitions.  Large tables on
-    a cluster are split into many scan tasks already, so this is a no-op there.
+    The number of scan tasks is left to ``spark.sql.files.maxPartitionBytes`` at every size.
     """
-    path = table_path(sf_dir, name)
     reader = spark.read.format("parquet")
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    df = reader.load(path)
-    if columns:
-        df = df.select(*columns)
-    if spread:
-        df = ensure_parallelism(df, path)
-    return df
-
-
-def ensure_parallelism(df: DataFrame, path: str | None = None) -> DataFrame:
-    size = _local_size(path) if path else None
-    if size is not None and size < _SMALL_TABLE_FILES_BYTES:
-        return df
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no scan statistics available (e.g. remote session): leave as is
-        return df
-    return df.repartition(target)
-
-
-def _local_size(path: str) -> int | None:
-    """Bytes under a local path; None for remote stores (then the scan's partition count decides)."""
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in p or not os.path.exists(p):
-        return None
-    if os.path.isfile(p):
-        return os.path.getsize(p)
-    total = 0
-    for root, _, files in os.walk(p):
-        total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
-    return total
+    df = reader.load(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df

@@ -14,6 +14,8 @@ correctness check.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,15 +148,22 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape("").unionByName(shape(" (old)"))
 
 
-def events(spark: SparkSession, sf_dir: str, shift_days: int = 0) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, shift_days: int = 0, first: dt.date | None = None,
+           last: dt.date | None = None) -> DataFrame:
     """events as web hits: host = device's site, device = props.k.
 
     Collection is at-least-once: hits in the first six minutes of every hour are
     delivered twice (exact copies), and anonymous sign-ups in the last six
     minutes of an hour carry no user.  ``shift_days`` moves the clock (used to
-    span a month boundary).
+    span a month boundary); ``first`` and ``last`` are event days after the shift,
+    given to the scan as a range of the stored clock.
     """
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    clock = lambda d: F.lit(dt.datetime.combine(d - dt.timedelta(days=shift_days), dt.time())).cast("timestamp_ntz")
+    if first is not None:
+        e = e.where(F.col("ts") >= clock(first))
+    if last is not None:
+        e = e.where(F.col("ts") < clock(last + dt.timedelta(days=1)))
     device = F.get_json_object("props", "$.k").cast("bigint")
     ts = F.col("ts") if shift_days == 0 else F.col("ts") + F.make_dt_interval(F.lit(shift_days))
     # one scan; a re-delivered hit is a second copy emitted by a narrow explode

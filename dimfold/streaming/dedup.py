@@ -29,8 +29,7 @@ def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: s
 
 
 def run_dedup(spark: SparkSession, source_path: str, schema: StructType, keys: Sequence[str], event_time: str,
-              delay: str, out_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
-              timeout_s: int = 600) -> DataFrame:
+              delay: str, out_path: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the de-duplication over every file present at ``source_path`` (``availableNow``).
 
     Output and checkpoint live in shared storage, so a restarted query resumes
@@ -43,10 +42,7 @@ def run_dedup(spark: SparkSession, source_path: str, schema: StructType, keys: S
     query = (deduped.writeStream.format("parquet").outputMode("append")
              .option("path", out_path).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("streaming de-duplication did not finish in time")
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return spark.read.schema(schema).parquet(out_path)

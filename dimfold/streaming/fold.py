@@ -26,7 +26,7 @@ DayStep = Callable[[DataFrame, DataFrame, dt.date], DataFrame]
 
 def fold_on_arrival(spark: SparkSession, landing_path: str, schema: StructType, table_path: str, step: DayStep,
                     checkpoint: str, event_time: str = "event_time", partition_col: str = "date",
-                    stage: bool = False, max_files_per_trigger: int | None = None, timeout_s: int = 900) -> DataFrame:
+                    stage: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Fold every completed day into the snapshot table at ``table_path``.
 
     ``step(events, table, day)`` returns the partition(s) of ``day`` given all
@@ -54,10 +54,7 @@ def fold_on_arrival(spark: SparkSession, landing_path: str, schema: StructType,
     query = (reader.load(landing_path).select(event_time).writeStream
              .foreachBatch(on_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("streaming fold did not finish in time")
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return read_snapshot(spark, table_path)

@@ -1,7 +1,10 @@
+import pytest
+
 from dimfold.session import ensure_checkpoint_dir, shared_dir
-from dimfold.sources.tables import _local_size, read_table
+from dimfold.plans.inspect import exchanges
+from dimfold.sources.tables import read_table
 
-from conftest import SF_TINY
+from conftest import SF_SMALL, SF_TINY
 
 
 def test_shared_dir_lives_under_the_session_checkpoint_dir(spark):
@@ -12,8 +15,17 @@ def test_shared_dir_lives_under_the_session_checkpoint_dir(spark):
     assert a != b and a.startswith(base.rstrip("/")) and b.startswith(base.rstrip("/"))
 
 
-def test_small_tables_are_not_spread(spark):
-    assert _local_size(f"{SF_TINY}/nation.parquet") < 1 << 20
-    assert _local_size("hdfs://namenode/warehouse/table") is None   # remote: the scan's partition count decides
-    n = read_table(spark, SF_TINY, "nation", ["n_nationkey"])
-    assert n.columns == ["n_nationkey"] and n.count() == 25
+def test_tables_are_read_without_a_shuffle_at_any_size(spark):
+    for sf in (SF_TINY, SF_SMALL, "/root/testdata/sf0.1"):
+        li = read_table(spark, sf, "lineitem", ["l_orderkey"])
+        assert li.columns == ["l_orderkey"] and exchanges(li) == 0
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(monkeypatch):
+    from types import SimpleNamespace
+
+    from dimfold import session
+
+    sc = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, getConf=lambda: {})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
