@@ -115,8 +115,9 @@ def host_batch(hosts_cumulated: DataFrame, from_first_seen: bool = False) -> Dat
     """
     bounds = hosts_cumulated.select(F.struct(F.trunc(F.min("date"), "MM").alias("m0"), F.max("date").alias("hi"))).scalar()
     last = bounds["hi"]
-    hosts = hosts_cumulated.groupBy("host").agg(
-        F.first(F.when(F.col("date") == last, F.col("host_activity_datelist")), ignorenulls=True).alias("_l"))
+    # the lists of the latest snapshot (a partition of the stored table), for the hosts of every snapshot
+    latest = hosts_cumulated.where(F.col("date") == last).select("host", F.col("host_activity_datelist").alias("_l"))
+    hosts = hosts_cumulated.select("host").distinct().join(latest, "host", "left")
     # the scalar subquery is bound to columns here: it may not appear inside higher-order functions
     hosts = hosts.select("host", "_l", bounds["m0"].alias("_m0"), last.alias("_hi"))
     start = F.col("_m0")
