@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimfold.session import shared_dir
@@ -26,14 +26,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> Dat
     conflict, so such rows are all kept.
     """
     row = F.struct(*[F.col(c) for c in existing.columns])
-    rest = incoming.select(*existing.columns)
     null_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    new = rest.where(~null_key).groupBy(*keys).agg(F.first(row).alias("_new"), F.count(F.lit(1)).alias("_n"))
-    new = new.select(*keys, F.when(F.col("_n") == 1, F.col("_new")).otherwise(
+    alone = F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1
+    new = incoming.select(*existing.columns).select(*keys, F.when(alone | null_key, row).otherwise(
         F.raise_error(F.lit("a key comes in more than once"))).alias("_new"))
-    old = existing.where(~null_key).select(*keys, row.alias("_old"))
-    merged = old.join(new, list(keys), "full_outer").select(F.coalesce("_new", "_old").alias("_r")).select("_r.*")
-    return merged.unionByName(existing.where(null_key)).unionByName(rest.where(null_key))
+    old = existing.select(*keys, row.alias("_old"))
+    return old.join(new, list(keys), "full_outer").select(F.coalesce("_new", "_old").alias("_r")).select("_r.*")
 
 
 def write_snapshot(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:

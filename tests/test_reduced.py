@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_TINY, rows
@@ -79,3 +81,12 @@ def test_upsert_and_snapshot_partitions(spark):
     sinks.write_snapshot(again, path, ["date"])
     sinks.write_snapshot(again, path, ["date"])          # re-run: same result
     assert rows(sinks.read_snapshot(spark, path), "k", "date") == [(1, dt.date(2024, 1, 1)), (5, dt.date(2024, 1, 2))]
+
+
+def test_upsert_rejects_a_key_that_comes_in_twice(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    twice = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        sinks.upsert(old, twice, ["k"]).collect()
+    nulls = spark.createDataFrame([(None, "p"), (None, "q"), (1, "A")], "k int, v string")
+    assert rows(sinks.upsert(old, nulls, ["k"])) == rows(spark.createDataFrame([(1, "A"), (None, "n"), (None, "p"), (None, "q")], "k int, v string"))
