@@ -10,7 +10,7 @@
 3. Equal texts are folded into their least id.  Texts that share a band's hash are linked to leaders of that hash
    (the least id, and the least by a hash of the id), never to each other in pairs.  Links are verified by the exact
    weighted Jaccard similarity (``SIMILARITY`` or more).  Bands whose texts are still in different classes
-   are linked again, with other leaders, for ``ROUNDS`` rounds.
+   are linked again, with other leaders, for ``ROUNDS`` rounds and on from there until a round finds no link.
 4. Verified links give classes as connected components, by least labels with pointer jumping over written tables.
 
 Defined results: one row per document id with its class (the least id in it); null is an empty text; empty texts are
@@ -21,6 +21,8 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +35,8 @@ SIMILARITY = 0.8
 COMMON = 0.01
 DEPTH, WIDTH = 2, 1 << 18
 BINS, BANDS = 64, 16
-ROUNDS = 3
-CHUNK_DOCS = 500            # pairs of a leader compared in one run, see ``verified``
+ROUNDS = 3                  # at least
+CHUNK_DOCS = 500            # rows of a key that stay together in a join, see ``spread_join``
 
 
 # --------------------------------------------------------------------------- document frequencies
@@ -157,6 +159,26 @@ def signatures(texts: DataFrame, frequencies: tuple[np.ndarray, int]) -> DataFra
     return texts.mapInArrow(run, "doc_id long, same string, bands array<long>")
 
 
+# --------------------------------------------------------------------------- joins on keys of many rows
+
+def crowded(counts: DataFrame, key: str) -> DataFrame:
+    """(key, runs) of the keys with over CHUNK_DOCS rows, from (key, n): one row in CHUNK_DOCS of the input at most."""
+    return small_or_shuffled(stored(counts.where(F.col("n") > CHUNK_DOCS)
+                                    .select(key, F.ceil(F.col("n") / CHUNK_DOCS).cast("int").alias("runs")), "crowded"))
+
+
+def spread_join(rows: DataFrame, side: DataFrame, key: str, by: str, hot: DataFrame) -> DataFrame:
+    """Rows joined to the few rows of their key in ``side``.
+
+    The rows of a crowded key are cut into runs of about CHUNK_DOCS by a hash of ``by``, and its rows of ``side`` are
+    repeated once per run, so no task gets all rows of a key.
+    """
+    runs = F.coalesce("runs", F.lit(1))
+    cut = rows.join(hot, key, "left").withColumn("run", F.pmod(F.xxhash64(by), runs).cast("int")).drop("runs")
+    repeated = side.join(hot, key, "left").withColumn("run", F.explode(F.sequence(F.lit(0), runs - 1))).drop("runs")
+    return cut.join(repeated, [key, "run"]).drop("run")
+
+
 # --------------------------------------------------------------------------- verification
 
 def weighted_features(texts: DataFrame, frequencies: tuple[np.ndarray, int]) -> DataFrame:
@@ -191,17 +213,12 @@ def weighted_jaccard(fa: bytes, wa: bytes, fb: bytes, wb: bytes) -> float:
 def verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
     """Pairs (a, b) whose texts reach the similarity.
 
-    A leader a may be in very many pairs: its pairs are cut into runs of at most about CHUNK_DOCS by a hash of b,
-    and its features are repeated once per run, so no task gets all pairs of a leader.
+    A leader a may be in very many pairs: they are cut into runs, so no task gets all pairs of a leader.
     """
-    long = stored(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK_DOCS)
-                  .select("a", F.ceil(F.col("n") / CHUNK_DOCS).cast("int").alias("runs")), "long-leaders")      # one row in CHUNK_DOCS pairs at most
-    long = small_or_shuffled(long)
-    leaders = (features.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("w").alias("wa")).join(long, "a", "left")
-               .withColumn("run", F.explode(F.sequence(F.lit(0), F.coalesce("runs", F.lit(1)) - 1))).select("a", "run", "fa", "wa"))
-    cut = pairs.join(long, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("runs", F.lit(1))).cast("int").alias("run"))
-    both = (cut.join(features.select(F.col("id").alias("b"), F.col("f").alias("fb"), F.col("w").alias("wb")), "b")
-            .join(leaders, ["a", "run"]).select("a", "b", "fa", "wa", "fb", "wb"))
+    hot = crowded(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a")
+    leaders = features.select(F.col("id").alias("a"), F.col("f").alias("fa"), F.col("w").alias("wa"))
+    named = pairs.join(features.select(F.col("id").alias("b"), F.col("f").alias("fb"), F.col("w").alias("wb")), "b")
+    both = spread_join(named, leaders, "a", "b", hot).select("a", "b", "fa", "wa", "fb", "wb")
 
     def run(batches):
         for batch in batches:
@@ -242,8 +259,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = signed.join(first.select("same", F.col("id").alias("doc_id")), ["same", "doc_id"]).dropDuplicates(["same"])
     members = stored(chosen.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
                      .select("id", F.xxhash64("band", "key").alias("key")).distinct(), "bands")
-    crowded = members.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key")
-    members = stored(members.join(crowded, "key"), "bands")
+    shared = stored(members.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n"))
+                    .where("least < most").select("key", "n"), "shared-bands")
+    hot = crowded(shared, "key")
+    members = stored(spread_join(members, shared.select("key"), "key", "id", hot), "bands")
 
     # texts of all documents that share a band with another
     wanted = small_or_shuffled(members.select(F.col("id").alias("doc_id")).distinct())
@@ -254,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     features = stored(weighted_features(candidates, frequencies), "features")
 
     links, labels, tried = None, None, None
-    for n in range(ROUNDS):
+    for n in itertools.count():
         known = members.select("id", "key", F.col("id").alias("label")) if labels is None else (
             members.join(labels, "id", "left").select("id", "key", F.coalesce("label", "id").alias("label")))
         known = stored(known, "known")
@@ -263,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                           F.min(order).alias("y")).where("lo < hi"))
         heads = heads.select("key", F.explode(F.array(F.struct(F.col("x.id").alias("id"), F.col("x.label").alias("label")),
                                                       F.struct(F.col("y.id").alias("id"), F.col("y.label").alias("label")))).alias("h"))
-        pairs = (known.join(heads, "key").where("label <> h.label")
+        pairs = (spread_join(known, heads, "key", "id", hot).where("label <> h.label")
                  .select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -273,11 +292,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = stored(verified(pairs, features), "verified")
         if new.limit(1).count() == 0:
+            if n + 1 >= ROUNDS:
+                break
             continue
         links = new if links is None else links.unionByName(new)
         # links that hold a document together that has several texts
         labels = components(links)
-    classes = signed.select("doc_id", "same").join(first.select("same", "id"), "same").select("doc_id", "id")
+    copies = crowded(first.select("same", "n"), "same")
+    classes = spread_join(signed.select("doc_id", "same"), first.select("same", "id"), "same", "doc_id", copies).select("doc_id", "id")
     if labels is not None:
         classes = classes.join(labels, "id", "left").select("doc_id", F.coalesce("label", "id").alias("class_id"))
     else:
