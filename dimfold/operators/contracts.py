@@ -40,3 +40,13 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.where(any_null | (F.col("n_rows") > 1)).withColumn(
         "violation", F.when(any_null, F.lit("null_key")).otherwise(F.lit("duplicate"))
     )
+
+
+def key_summary(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """K2 report, one row: rows, distinct keys and keys that repeat or have a NULL part."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+        F.count_if(any_null | (F.col("n") > 1)).alias("n_violations"),
+    ).select(F.lit(name).alias("table_name"), "n_rows", "n_keys", "n_violations")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from dimfold.plans import fold, sinks
 from dimfold.session import shared_dir
 from dimfold.sources import views
 from dimfold.streaming import dedup as stream_dedup
+from dimfold.streaming import fold as stream_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -189,6 +191,28 @@ def _branch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scd.explode_branches(br.where(F.col("branch") == name))
 
 
+# the players layout of the same operator
+_PLAYERS_SCD = {"key": "player_name", "period": "current_season", "tracked": ("scoring_class", "is_active"), "carry": (),
+                "start_col": "start_season", "end_col": "end_season", "run_col": "current_season"}
+
+
+def players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.history_backfill(views.player_seasons(spark, sf_dir), C.FIRST_YEAR, C.NEXT_YEAR)
+
+
+@register("scd2_players_full")
+def q_scd2_players_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd.scd2_full(players(spark, sf_dir), C.SCD_CUTOFF, **_PLAYERS_SCD)
+
+
+@register("scd2_players_incremental")
+def q_scd2_players_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored run and the stored snapshot of the new season meet in one join."""
+    p = players(spark, sf_dir).select("player_name", "scoring_class", "is_active", "current_season")
+    run = sinks.materialize(spark, scd.scd2_full(p, C.SCD_CUTOFF, **_PLAYERS_SCD), "players_scd")
+    return scd.scd2_incremental(run, p, C.SCD_CUTOFF, C.NEXT_YEAR, **_PLAYERS_SCD)
+
+
 @register("scd2_unchanged")
 def q_scd2_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _branch(spark, sf_dir, "unchanged")
@@ -280,6 +304,33 @@ def q_enum_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.enum_profile(actor_classes(spark, sf_dir), "quality_class", classify.QUALITY_LABELS)
 
 
+@register("enum_violations")
+def q_enum_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots whose class is outside a narrower set: the last label is left out."""
+    a = actor_classes(spark, sf_dir).select("actor_id", "year", "quality_class")
+    return contracts.enum_violations(a, "quality_class", classify.QUALITY_LABELS[:-1])
+
+
+@register("enum_enforced")
+def q_enum_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = actor_classes(spark, sf_dir).select("actor_id", "year", "quality_class")
+    return contracts.enum_enforce(a, "quality_class", classify.QUALITY_LABELS)
+
+
+@register("key_contract_built")
+def q_key_contract_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared keys of built tables: rows, distinct keys and keys that break the contract."""
+    a = actor_classes(spark, sf_dir)
+    built = [
+        ("actors", a, ["actor_id", "year"]),
+        ("actors_scd", scd.scd2_full(a, C.SCD_CUTOFF), ["actor_id", "start_year"]),
+        ("fct_game_details", fct_game_details(spark, sf_dir), ["dim_game_date", "dim_team_id", "dim_player_id"]),
+        ("players", players(spark, sf_dir), ["player_name", "current_season"]),
+        ("users_cumulated", datelist.dates_build(views.events(spark, sf_dir), C.RUN_DATE), ["user_id", "date"]),
+    ]
+    return reduce(DataFrame.unionByName, [contracts.key_summary(df, keys, name) for name, df, keys in built])
+
+
 @register("key_contract")
 def q_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.key_violations(views.game_details(spark, sf_dir), list(dedup.DETAIL_KEY))
@@ -380,6 +431,14 @@ def q_datelist_device_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("datelist_device_bitmap")
+def q_datelist_device_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bitmap per user and device; a day with several browsers sets its bit once."""
+    snap = datelist.device_build(views.events(spark, sf_dir), views.devices(spark, sf_dir), C.RUN_DATE)
+    days = F.array_distinct(F.transform("device_activity_datelist", lambda e: e["date"]))
+    return datelist.datelist_bitmap(snap, dates=days).select("user_id", "device_id", "date", "datelist_int", "dim_datelist")
+
+
 def hosts_cumulated_folded(ev: DataFrame, run_date: dt.date = C.RUN_DATE, days: int = C.FOLD_DAYS) -> DataFrame:
     snap = datelist.host_build(ev, run_date - dt.timedelta(days=days))
     for d in _fold_days(run_date, days):
@@ -517,6 +576,28 @@ def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "user_id", "device_id", "host", "event_type", "event_time")
 
 
+@register("dedup_hourly")
+def q_dedup_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which copy of an event is kept is open in this form, so the query returns the keys."""
+    return stream_dedup.dedup_hourly_batch(views.events(spark, sf_dir), dedup.EVENT_KEY, "event_time").select(*dedup.EVENT_KEY)
+
+
+@register("fold_on_arrival")
+def q_fold_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily folds driven by landed files, a file a trigger; the last day is not complete until a later one arrives."""
+    ev = views.events(spark, sf_dir)
+    start = C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS + 1)
+    landing, path = shared_dir(spark, "fold_landing"), shared_dir(spark, "users_cumulated")
+    ev.write.parquet(landing)
+    sinks.write_snapshot(datelist.dates_build(ev, start), path, ["date"])
+
+    def step(events: DataFrame, table: DataFrame, day: dt.date) -> DataFrame:
+        return datelist.dates_step(events, table.where(F.col("date") == F.lit(day - dt.timedelta(days=1))), day)
+
+    snap = stream_fold.fold_on_arrival(spark, landing, ev.schema, path, step, shared_dir(spark, "fold_ckpt"), max_files_per_trigger=1)
+    return snap.select("user_id", "date", F.size("dates_active").alias("n_dates"), _days_text(F.col("dates_active")).alias("dates"))
+
+
 @register("bucketize")
 def q_bucketize(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = views.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"])
