@@ -62,13 +62,23 @@ def q_dedup_events_host(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ F: date lists
 
+def _fold_days(run_date: dt.date, days: int) -> list[dt.date]:
+    return [run_date - dt.timedelta(days=k) for k in range(days - 1, -1, -1)]
+
+
+def _folded(initial: DataFrame, run_date: dt.date, days: int, name: str, step: Callable[[DataFrame, dt.date], DataFrame]) -> DataFrame:
+    """Snapshot of the run date: a partition is written each day, the next day reads that one alone."""
+    spark = initial.sparkSession
+    table = fold.fold(spark, shared_dir(spark, name), initial, _fold_days(run_date, days),
+                      lambda t, d: step(fold.latest(t, "date", d - dt.timedelta(days=1)), d))
+    return fold.latest(table, "date", run_date)
+
+
 def users_cumulated_folded(spark: SparkSession, sf_dir: str, run_date: dt.date = C.RUN_DATE,
                            days: int = C.FOLD_DAYS) -> DataFrame:
     ev = views.events(spark, sf_dir)
-    snap = datelist.dates_build(ev, run_date - dt.timedelta(days=days))
-    for k in range(days - 1, -1, -1):
-        snap = datelist.dates_step(ev, snap, run_date - dt.timedelta(days=k))
-    return snap
+    return _folded(datelist.dates_build(ev, run_date - dt.timedelta(days=days)), run_date, days, "users_cumulated",
+                   lambda yesterday, d: datelist.dates_step(ev, yesterday, d))
 
 
 @register("datelist_dates_step")
@@ -179,15 +189,22 @@ def q_scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actors_scd(spark, sf_dir)
 
 
+def stored_scd(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What a step finds stored: the runs so far by ``current_year`` and the snapshots by ``year``."""
+    snapshots, runs = shared_dir(spark, "actors"), shared_dir(spark, "actors_scd")
+    sinks.write_snapshot(actor_classes(spark, sf_dir), snapshots, ["year"])
+    stored = sinks.read_snapshot(spark, snapshots)
+    sinks.write_snapshot(scd.scd2_full(stored, C.SCD_CUTOFF), runs, ["current_year"])
+    return sinks.read_snapshot(spark, runs), stored
+
+
 @register("scd2_incremental")
 def q_scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = actor_classes(spark, sf_dir)
-    return scd.scd2_incremental(scd.scd2_full(a, C.SCD_CUTOFF), a, C.SCD_CUTOFF, C.NEXT_YEAR)
+    return scd.scd2_incremental(*stored_scd(spark, sf_dir), C.SCD_CUTOFF, C.NEXT_YEAR)
 
 
 def _branch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    a = actor_classes(spark, sf_dir)
-    br = scd.scd2_branches(scd.scd2_full(a, C.SCD_CUTOFF), a, C.SCD_CUTOFF, C.NEXT_YEAR)
+    br = scd.scd2_branches(*stored_scd(spark, sf_dir), C.SCD_CUTOFF, C.NEXT_YEAR)
     return scd.explode_branches(br.where(F.col("branch") == name))
 
 
@@ -354,8 +371,13 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_tables(spark, sf_dir)[0]
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph_tables(spark, sf_dir)[1]
+def stored_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both graph tables as consumers find them: vertices stored by type, edges by edge type."""
+    v, e = graph_tables(spark, sf_dir)
+    v_path, e_path = shared_dir(spark, "vertices"), shared_dir(spark, "edges")
+    sinks.write_snapshot(v, v_path, ["type"])
+    sinks.write_snapshot(e, e_path, ["edge_type"])
+    return sinks.read_snapshot(spark, v_path), sinks.read_snapshot(spark, e_path)
 
 
 def _fields(df: DataFrame, keep: list[str], keys: list[str]) -> DataFrame:
@@ -397,12 +419,15 @@ def q_graph_edges_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("graph_max_property")
 def q_graph_max_property(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.max_property(*graph_tables(spark, sf_dir))
+    v, e = stored_graph(spark, sf_dir)
+    # the property stands on the edges of one type: only their partition is read
+    return graph.max_property(v.where("type = 'player'"), e.where("edge_type = 'plays_in'"))
 
 
 @register("graph_pair_vs_career")
 def q_graph_pair_vs_career(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.pair_vs_career(*graph_tables(spark, sf_dir))
+    v, e = stored_graph(spark, sf_dir)
+    return graph.pair_vs_career(v.where("type = 'player'"), e.where("edge_type in ('shares_team', 'plays_against')"))
 
 
 @register("map_properties")
@@ -413,16 +438,12 @@ def q_map_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ F2 / F3 / H2: daily folds
 
-def _fold_days(run_date: dt.date, days: int) -> list[dt.date]:
-    return [run_date - dt.timedelta(days=k) for k in range(days - 1, -1, -1)]
-
-
 @register("datelist_device_step")
 def q_datelist_device_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev, dev = views.events(spark, sf_dir), views.devices(spark, sf_dir)
-    snap = datelist.device_build(ev, dev, C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS))
-    for d in _fold_days(C.RUN_DATE, C.FOLD_DAYS):
-        snap = datelist.device_step(ev, dev, snap, d)
+    ev = views.events(spark, sf_dir)
+    dev = sinks.materialize(spark, dedup.dedup_dimension(views.devices(spark, sf_dir)), "devices")     # one pass for all days
+    snap = _folded(datelist.device_build(ev, dev, C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS)), C.RUN_DATE, C.FOLD_DAYS,
+                   "users_devices_cumulated", lambda yesterday, d: datelist.device_step(ev, dev, yesterday, d))
     lst = F.col("device_activity_datelist")
     return snap.select(
         "user_id", "device_id", "date", F.size(lst).alias("n_entries"),
@@ -440,10 +461,8 @@ def q_datelist_device_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hosts_cumulated_folded(ev: DataFrame, run_date: dt.date = C.RUN_DATE, days: int = C.FOLD_DAYS) -> DataFrame:
-    snap = datelist.host_build(ev, run_date - dt.timedelta(days=days))
-    for d in _fold_days(run_date, days):
-        snap = datelist.host_step(ev, snap, d)
-    return snap
+    return _folded(datelist.host_build(ev, run_date - dt.timedelta(days=days)), run_date, days, "hosts_cumulated",
+                   lambda yesterday, d: datelist.host_step(ev, yesterday, d))
 
 
 def _host_entries(col) -> F.Column:
