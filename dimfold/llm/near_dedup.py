@@ -283,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         heads = heads.select("key", F.explode(F.array(F.struct(F.col("x.id").alias("id"), F.col("x.label").alias("label")),
                                                       F.struct(F.col("y.id").alias("id"), F.col("y.label").alias("label")))).alias("h"))
         pairs = (spread_join(known, heads, "key", "id", hot).where("label <> h.label")
-                 .select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct())
+                 .select(F.col("h.id").alias("a"), F.col("id").alias("b")).distinct())     # b is in a few pairs a band, a may be in many
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
