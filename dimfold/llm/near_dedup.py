@@ -2,8 +2,8 @@
 
 1. Document frequencies of the five-word shingles of all texts are counted into a small table of fixed size
    (``DEPTH`` hashed rows of ``WIDTH`` counters, the least counter is read), summed over the partitions.  A shingle's
-   weight is its count in the text times its inverse document frequency ln(N / df) / ln(1 / COMMON), at most 1: only
-   shingles in more than ``COMMON`` of all texts weigh less.
+   weight is its count in the text times its inverse document frequency ln(N / df) / ln(1 / COMMON), ``LEAST_WEIGHT`` to 1:
+   only shingles in more than ``COMMON`` of all texts weigh less.
 2. Every text gets ``BINS`` samples: shingles are dealt into bins by hash, and in each bin ICWS draws one with
    probability proportional to its weight, the same one for equal weighted sets.  Empty bins take the sample of the
    next bin that has one.  ``BANDS`` bands of neighbouring bins are hashed.
@@ -33,6 +33,7 @@ from dimfold.llm.common import Words, counted, mix, partitions, slices, small_or
 SHINGLE = 5
 SIMILARITY = 0.8
 COMMON = 0.01
+LEAST_WEIGHT = 0.8          # so near copies that hold a large part of all texts keep the weight of what they share
 DEPTH, WIDTH = 2, 1 << 18
 BINS, BANDS = 64, 16
 ROUNDS = 3                  # at least
@@ -96,7 +97,7 @@ def idf(features: np.ndarray, table: np.ndarray, n: int) -> np.ndarray:
     if not len(features) or n * COMMON <= 1:
         return np.ones(len(features))
     df = np.minimum.reduce([table[row][_buckets(features, row)] for row in range(DEPTH)])
-    return np.clip(np.log(n / np.clip(df, 1, n)) / np.log(1 / COMMON), 0.01, 1.0)
+    return np.clip(np.log(n / np.clip(df, 1, n)) / np.log(1 / COMMON), LEAST_WEIGHT, 1.0)
 
 
 # --------------------------------------------------------------------------- samples and bands

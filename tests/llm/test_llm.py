@@ -282,6 +282,23 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(df.where("doc_id < 0")).count() == 0
 
 
+def test_spread_join_cuts_crowded_keys_and_keeps_all_rows(spark):
+    rows = spark.range(5000).selectExpr("id", "if(id % 3 = 0, 0, id % 50 + 1) as key")       # key 0 holds a third
+    side = spark.range(40).selectExpr("id as key", "id * 2 as v")                            # some keys are missing
+    hot = near_dedup.crowded(rows.groupBy("key").count().withColumnRenamed("count", "n"), "key")
+    assert [(r.key, r.runs) for r in hot.collect()] == [(0, 4)]
+    got = near_dedup.spread_join(rows, side, "key", "id", hot).select("id", "key", "v").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, rows.join(side, "key").select("id", "key", "v").collect()))
+
+
+def test_large_group_of_near_copies_is_one_class(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 3000, 200)]
+    rows = [(i, " ".join([*base[:i % 190], f"edit{i}", *base[i % 190 + 1:]])) for i in range(1200)] + [(2000 + i, "one text copied") for i in range(700)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: 0 if i < 1200 else 2000 for i, _ in rows}
+
+
 def test_weighted_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(4)
     f = rng.integers(0, 1 << 44, 4000).astype(np.uint64)
