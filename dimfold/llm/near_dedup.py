@@ -11,6 +11,8 @@
    (the least id, and the least by a hash of the id), never to each other in pairs.  Links are verified by the exact
    weighted Jaccard similarity (``SIMILARITY`` or more).  Bands whose texts are still in different classes
    are linked again, with other leaders, for ``ROUNDS`` rounds and on from there until a round finds no link.
+   Then every two texts of different classes in a band are compared, but those that ``rest_of_bands`` shows by
+   their rarest shingles (weighted prefix filter) to be under ``SIMILARITY``.
 4. Verified links give classes as connected components, by least labels with pointer jumping over written tables.
 
 Defined results: one row per document id with its class (the least id in it); null is an empty text; empty texts are
@@ -37,6 +39,8 @@ LEAST_WEIGHT = 0.8          # so near copies that hold a large part of all texts
 DEPTH, WIDTH = 2, 1 << 18
 BINS, BANDS = 64, 16
 ROUNDS = 3                  # at least
+SMALL_BAND = 8              # up to so many texts of a band are compared without the prefix filter
+SLACK = 1 - 1e-6            # for rounding in the sums of the prefix filter
 CHUNK_DOCS = 500            # rows of a key that stay together in a join, see ``spread_join``
 
 
@@ -230,6 +234,68 @@ def verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+# --------------------------------------------------------------------------- all pairs of a band
+
+def prefixes(features: DataFrame, frequencies: tuple[np.ndarray, int]) -> DataFrame:
+    """(id, total, prefix, rest): weight of each text, its rarest shingles, and the weight from each of them on (rarest first).
+
+    The rarest shingle that two texts share has all they share from it on in both, so in each text the weight from it on
+    is at least the shared weight, which is at least SIMILARITY of either text's weight: it stands in both prefixes.
+    """
+    known = features.sparkSession.sparkContext.broadcast(frequencies)
+
+    def run(batches):
+        table, _ = known.value
+        for batch in batches:
+            totals, found, rests = [], [], []
+            for fb, wb in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                f, w = np.frombuffer(fb, "<u8"), np.frombuffer(wb, "<f4").astype(np.float64)
+                df = np.minimum.reduce([table[row][_buckets(f, row)] for row in range(DEPTH)])
+                order = np.lexsort((f, df))
+                rest = np.cumsum(w[order][::-1])[::-1]
+                totals.append(float(rest[0]) if len(rest) else 0.0)
+                n = int((rest >= SIMILARITY * SLACK * totals[-1]).sum())
+                found.append(f[order[:n]].astype(np.int64))
+                rests.append(rest[:n])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.float64()), pa.array(found, pa.list_(pa.int64())),
+                                              pa.array(rests, pa.list_(pa.float64()))], ["id", "total", "prefix", "rest"])
+
+    return features.select("id", "f", "w").mapInArrow(run, "id long, total double, prefix array<long>, rest array<double>")
+
+
+def rest_of_bands(known: DataFrame, features: DataFrame, frequencies: tuple[np.ndarray, int], hot: DataFrame) -> DataFrame | None:
+    """Pairs (a, b) of texts of different classes that share a band, all that may reach the similarity; None if there are none.
+
+    ``known`` has (id, key, label).  In a band of over SMALL_BAND texts only those are paired that share a shingle of
+    their prefixes.  Two texts need a shared weight of SIMILARITY / (1 + SIMILARITY) of the sum of their weights, so from
+    the rarest shared shingle on both have at least that; in the lighter text this is more than in its whole prefix.
+    Pairs lead from the texts outside the largest class of a group, so no class is paired with itself.
+    """
+    divided = stored(known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+                     .where("lo < hi").select("key", "n"), "divided")
+    if divided.limit(1).count() == 0:
+        return None
+    rows = stored(spread_join(known, divided, "key", "id", hot).select("id", "key", "label", "n"), "undecided")
+    sized = prefixes(features.join(rows.select("id").distinct(), "id", "left_semi"), frequencies)
+    whole = F.array(F.struct(F.col("key").alias("part"), F.col("total").alias("rest")))
+    cut = F.zip_with("prefix", "rest", lambda f, r: F.struct(F.xxhash64(F.col("key"), f).alias("part"), r.alias("rest")))
+    parts = stored(rows.join(sized, "id").select("id", "label", "total", F.explode(F.when(F.col("n") <= SMALL_BAND, whole).otherwise(cut)).alias("x"))
+                   .select("id", "label", "total", "x.part", "x.rest"), "parts")
+    share = SIMILARITY / (1 + SIMILARITY) * SLACK
+    light = F.col("rest") >= F.col("total") * (2 * share)          # may be the lighter text of a pair
+    groups = (parts.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"), F.max(light).alias("light"))
+              .groupBy("part").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.max("light").alias("light"),
+                                   F.count(F.lit(1)).alias("classes")).where("classes > 1 and light").select("part", "main", "n"))
+    groups = stored(groups, "groups")
+    crowds = crowded(groups, "part")
+    parts = stored(spread_join(parts, groups.select("part", "main"), "part", "id", crowds), "shared-parts")
+    side = parts.where("label <> main").select("part", F.col("id").alias("a"), F.col("label").alias("of"), F.col("total").alias("weight"), F.col("rest").alias("left"))
+    return (spread_join(parts, side, "part", "id", crowds)
+            .where((F.col("label") != F.col("of")) & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("id")))
+                   & (F.least("rest", "left") >= (F.col("total") + F.col("weight")) * share))
+            .select("a", F.col("id").alias("b")).distinct())
+
+
 # --------------------------------------------------------------------------- classes
 
 def components(links: DataFrame) -> DataFrame:
@@ -299,6 +365,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = new if links is None else links.unionByName(new)
         # links that hold a document together that has several texts
         labels = components(links)
+    pairs = rest_of_bands(known, features, frequencies, hot)
+    if pairs is not None:
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+        new = stored(verified(stored(pairs, "pairs"), features), "verified")
+        if new.limit(1).count():
+            labels = components(new if links is None else links.unionByName(new))
     copies = crowded(first.select("same", "n"), "same")
     classes = spread_join(signed.select("doc_id", "same"), first.select("same", "id"), "same", "doc_id", copies).select("doc_id", "id")
     if labels is not None:

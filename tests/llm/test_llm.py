@@ -299,6 +299,50 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert {r.doc_id: r.class_id for r in got} == {i: 0 if i < 1200 else 2000 for i, _ in rows}
 
 
+def near_classes(rows):
+    """Least id of each class of texts (of distinct words) with weighted similarity of 0.8 or more, all pairs."""
+    sets = [{tuple(w[k: k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    number = {}
+    for s in sets:
+        for h in s:
+            number.setdefault(h, len(number))
+    has = np.zeros((len(sets), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, [number[h] for h in s]] = 1
+    w = np.clip(np.log(len(sets) / has.sum(axis=0)) / np.log(100), near_dedup.LEAST_WEIGHT, 1)
+    both, total = (has * w) @ has.T, has @ w
+    near = both / (total[:, None] + total - both) >= near_dedup.SIMILARITY
+    ids = np.array([i for i, _ in rows])
+    while True:
+        least = np.where(near, ids[None, :], ids.max()).min(axis=1)
+        if (least == ids).all():
+            return {i: int(x) for (i, _), x in zip(rows, ids, strict=True)}
+        ids = least
+
+
+def test_pairs_in_crowded_bands_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    template = word(180)
+
+    def changed(w, n):
+        w = list(w)
+        for k in rng.choice(np.arange(10, 150, 7), n, replace=False):
+            w[k] = word(1)[0]
+        return w
+
+    family = [[*template, *word(20)] for _ in range(1000)]                # 0.75 alike: no copies
+    pairs = [changed(w, 3) for w in family[400:480]]                      # each near one of the family
+    centre = word(200)
+    star = [changed(centre, 3) for _ in range(60)]                       # each near the centre, not each other
+    texts = [*family, *pairs, *star, centre]
+    rows = [(int(i), " ".join(w)) for i, w in zip(rng.permutation(len(texts)), texts, strict=True)]
+    want = near_classes(rows)
+    assert len(set(want.values())) < 1002 and len(set(want.values())) > 900
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.class_id for r in got.collect()} == want
+
+
 def test_weighted_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(4)
     f = rng.integers(0, 1 << 44, 4000).astype(np.uint64)
