@@ -1,7 +1,9 @@
 """Operator 9, language identification by compression.
 
-Every text is compressed whole with one zstandard raw-content dictionary per language; the dictionary that gives
-the fewest bytes names the language.  The relative distance to the second best is the score; a text whose
+Every text is cut into equal pieces of at most ``PIECE_BYTES``, all of which are compressed with one zstandard
+raw-content dictionary per language; the dictionary that gives the fewest bytes over all pieces names the language.
+A dictionary saves a bounded number of bytes in each compression, so the pieces keep the distances of long texts
+from falling with their length.  The relative distance to the second best is the score; a text whose
 distance is under ``MIN_MARGIN`` is rejected.
 
 The dictionaries are filled from a bounded sample of labelled rows: about ``SAMPLE_DOCS`` documents per language
@@ -29,6 +31,7 @@ SAMPLE_DOCS = 400
 SLICE_CHARS = 1024
 MAX_LANGUAGES = 256         # bounds the dictionaries sent to the tasks (32 MB)
 MIN_MARGIN = 0.001
+PIECE_BYTES = 32 << 10
 _LETTER = re.compile(r"[^\W\d_]")
 _SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -38,6 +41,13 @@ def plain(text: str) -> bytes:
     return b" " + b" ".join(text.lower().encode().translate(_SPACED).split()) + b" "
 
 
+def pieces(data: bytes) -> list[memoryview]:
+    """Equal pieces of at most PIECE_BYTES, the whole of ``data``."""
+    n = -(-len(data) // PIECE_BYTES)
+    cuts = [len(data) * i // n for i in range(n + 1)]
+    return [memoryview(data)[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 @dataclasses.dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]          # by falling number of labelled rows
@@ -94,8 +104,8 @@ class Judge:
             return UNKNOWN, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
-        data = plain(text)
-        sizes = [len(c(data)) for c in self.compress]
+        parts = pieces(plain(text))
+        sizes = [sum(len(c(p)) for p in parts) for c in self.compress]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         second = min(s for i, s in enumerate(sizes) if i != best)
         margin = 1.0 - sizes[best] / second

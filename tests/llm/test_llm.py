@@ -373,6 +373,18 @@ def test_language_held_out(spark, odd, none):
     assert {r.lang_pred for r in language_id.identify_documents(odd.withColumn("lang", odd.source.substr(9, 1))).collect()} <= {"", "und"}
 
 
+def test_language_margin_of_long_texts():
+    rng = np.random.default_rng(7)
+    words = {x: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(3000)] for x in ("one", "two")}
+    text = lambda x, n: " ".join(rng.choice(words[x], n))
+    model = language_id.Model(("one", "two"), tuple(language_id.plain(text(x, 25000))[:language_id.DICT_BYTES] for x in words))
+    judge = language_id.Judge(model, language_id.MIN_MARGIN)
+    short, long = text("two", 8000), text("two", 800_000)
+    assert len(long) > 5_000_000 and b"".join(language_id.pieces(language_id.plain(long))) == language_id.plain(long)
+    (lang, score, rejected), (_, before, _) = judge(long), judge(short)
+    assert lang == "two" and not rejected and score > 0.5 * before
+
+
 def test_quality_held_out(spark, odd, none):
     labels = {r.doc_id: r.quality for r in table(spark, SF_SMALL, "labels").collect()}
     got = [r for r in registry.op10_quality(spark, SF_SMALL).collect() if r.held_out and r.doc_id in labels]
