@@ -1,13 +1,9 @@
-"""Operator 6, benchmark decontamination by SimHash; DataFrame expressions only.
+"""Operator 6, benchmark decontamination by windows laid on shared shingles; DataFrame expressions only.
 
-Windows of an item's size are taken from the documents and fingerprinted with a 64-bit SimHash of their words.
-A multi-index finds the items near a window: fingerprints are cut into ``BLOCKS`` blocks of 16 bits, each item is
-listed under every value within ``NEAR`` bits of each of its blocks, so every item within
-``RADIUS = BLOCKS * (NEAR + 1) - 1`` bits shares a listed block with the window.  Candidates within the radius are
-verified by the exact weighted similarity of five-word shingles.
-
-A window that reaches the similarity shares a shingle with its item, so only windows laid on a shared shingle
-(position in the text less position in the item) are built; nothing that could be accepted is left out by that.
+A window of an item's size that reaches the similarity shares a five-word shingle with its item, so windows are laid
+where a text shares a shingle with an item (position in the text less position in the item), and each is verified
+against that item by the exact weighted similarity of five-word shingles; no fingerprint decides before that, so no
+window that could be accepted is left out.
 Shingles that several items share weigh less: ln(1 + items / items with it) / ln(1 + items); a shingle outside the
 item weighs 1.
 
@@ -18,8 +14,6 @@ their id; empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +21,6 @@ from dimfold.llm.common import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS = 4
-NEAR = 2
-RADIUS = BLOCKS * (NEAR + 1) - 1
 BROADCAST_SHINGLES = 1_000_000      # item shingles broadcast up to this many rows (about 60 MB), else joined by shuffle
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
@@ -44,38 +35,21 @@ def shingles(w: str) -> Column:
     return F.when(F.size(w) >= SHINGLE, made).otherwise(F.array().cast("array<bigint>"))
 
 
-def word_hashes(w: Column) -> Column:
-    return F.transform(w, lambda x: F.xxhash64(x))
-
-
-def simhash(h: Column) -> Column:
-    """64-bit SimHash of an array of word hashes."""
-    bit = lambda hs, b: F.aggregate(hs, F.lit(0), lambda acc, x: acc + F.call_function("getbit", x, b) * 2 - 1)
-    return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.struct(b.alias("b"), bit(h, b).alias("s"))), F.lit(0).cast("long"),
-                       lambda acc, x: acc.bitwiseOR(F.when(x["s"] > 0, F.call_function("shiftleft", F.lit(1).cast("long"), x["b"])).otherwise(F.lit(0).cast("long"))))
-
-
-def _block(h: Column, k: int) -> Column:
-    return F.shiftrightunsigned(h, 16 * k).bitwiseAND(F.lit(0xFFFF).cast("long")).cast("int")
-
-
-def near_masks(near: int = NEAR, bits: int = 16) -> list[int]:
-    """All bit masks with at most ``near`` bits set."""
-    return [sum(1 << b for b in bs) for n in range(near + 1) for bs in combinations(range(bits), n)]
-
-
 def index_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, m, sh, wt, total, simhash): shingles of every item of five words or more, with weights."""
+    """(item, item_id, m, sh, first, wt, total): shingles of every item of five words or more, with weights.
+
+    ``sh`` are all shingles in order, ``first`` the distinct ones, ``wt`` the weights of those and ``total`` their sum.
+    """
     base = (benchmark.select(F.col(id_col).cast("long").alias("item_id"), words(F.col(text_col).cast("string")).alias("w"))
-            .withColumn("item", F.monotonically_increasing_id()).withColumn("sh", shingles("w")).where(F.size("sh") > 0))
-    base = stored(base.withColumn("simhash", simhash(word_hashes(F.col("w")))).drop("w"), "items")      # item numbers are fixed by writing them
+            .withColumn("item", F.monotonically_increasing_id()).withColumn("sh", shingles("w")).where(F.size("sh") > 0).drop("w"))
+    base = stored(base, "items")      # item numbers are fixed by writing them
     n = base.count()
-    flat = base.select("item", "item_id", "simhash", F.posexplode("sh").alias("q", "h"))
-    df = flat.groupBy("h").agg(F.count_distinct("item").alias("df"))
+    df = base.select("item", F.explode("sh").alias("h")).groupBy("h").agg(F.count_distinct("item").alias("df"))
     weight = F.log(1 + F.lit(float(n)) / F.col("df")) / F.log(F.lit(1.0 + n))
-    flat = flat.join(df, "h").select("item", "item_id", "simhash", F.struct("q", "h", weight.alias("wt")).alias("s"))
-    return (flat.groupBy("item", "item_id", "simhash").agg(F.array_sort(F.collect_list("s")).alias("s"))       # an item's own shingles
-            .select("item", "item_id", "simhash", F.size("s").alias("m"), F.col("s.h").alias("sh"), F.col("s.wt").alias("wt")))
+    flat = base.select("item", F.posexplode(F.array_distinct("sh")).alias("q", "h")).join(df, "h").select("item", F.struct("q", "h", weight.alias("wt")).alias("s"))
+    weighed = flat.groupBy("item").agg(F.array_sort(F.collect_list("s")).alias("s")).select("item", F.col("s.h").alias("first"), F.col("s.wt").alias("wt"))
+    total = F.aggregate("wt", F.lit(0.0), lambda acc, x: acc + x)
+    return base.join(weighed, "item").select("item", "item_id", F.size("sh").alias("m"), "sh", "first", "wt", total.alias("total"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,37 +57,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = stored(index_items(benchmark), "item-index")
 
     # windows laid on shared shingles; of a run of shared shingles on one diagonal only the first lays its window
-    anchors = items.select("m", "sh", F.posexplode("sh").alias("q", "h")).select(
-        "h", "m", "q", F.when(F.col("q") > 0, F.get("sh", F.col("q") - 1)).alias("prior")).distinct()
+    anchors = items.select("item", "m", "sh", F.posexplode("sh").alias("q", "h")).select(
+        "h", "item", "m", "q", F.when(F.col("q") > 0, F.get("sh", F.col("q") - 1)).alias("prior"))
     if anchors.count() <= BROADCAST_SHINGLES:
         anchors = F.broadcast(anchors)
     rows = (docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col).cast("string")).alias("w"))
             .withColumn("row", F.monotonically_increasing_id()).withColumn("hs", shingles("w")))
-    hit = rows.select("row", "doc_id", "w", "hs", F.posexplode("hs").alias("p", "h")).join(anchors, "h")
+    hit = rows.select("row", "doc_id", "hs", F.posexplode("hs").alias("p", "h")).join(anchors, "h")
     goes_on = (F.col("p") > 0) & (F.col("q") > 0) & (F.get("hs", F.col("p") - 1) == F.col("prior"))
     start = F.greatest(F.col("p") - F.col("q"), F.lit(0))
-    laid = (hit.where(~F.coalesce(goes_on, F.lit(False))).select("row", "doc_id", start.alias("start"), "m", "w", "hs")
-            .select("row", "doc_id", "start", "m", F.slice("hs", F.col("start") + 1, F.col("m")).alias("win"),
-                    word_hashes(F.slice("w", F.col("start") + 1, F.col("m") + SHINGLE - 1)).alias("ww")))
-    windows = stored(laid.dropDuplicates(["row", "start", "m"]).withColumn("fp", simhash(F.col("ww")))
-                     .select("row", "doc_id", "start", F.size("ww").alias("n_words"), F.array_distinct("win").alias("win"), "fp"), "windows")
-
-    # multi-index: items under every block value near theirs, windows under their own
-    blocks = lambda h: F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _block(h, k).alias("v")) for k in range(BLOCKS)]))
-    masks = F.array(*map(F.lit, near_masks()))
-    listed = (items.select("item", "simhash", blocks(F.col("simhash")).alias("b"))
-              .select("item", "simhash", "b.k", F.explode(F.transform(masks, lambda m: F.col("b.v").bitwiseXOR(m))).alias("v")))
-    asked = windows.select("row", "start", "n_words", "fp", blocks(F.col("fp")).alias("b")).select("row", "start", "n_words", "fp", "b.k", "b.v")
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("simhash"))) <= RADIUS
-    pairs = asked.join(listed, ["k", "v"]).where(close).select("row", "start", "n_words", "item").distinct()
-
-    found = (pairs.join(windows.select("row", "start", "n_words", "doc_id", "win"), ["row", "start", "n_words"])
-             .join(items.select("item", "item_id", "sh", "wt"), "item"))
-    first = F.array_distinct("sh")
-    total = F.aggregate(first, F.lit(0.0), lambda acc, h: acc + F.get("wt", (F.array_position("sh", h) - 1).cast("int")))
-    both = F.array_intersect("sh", "win")
-    common = F.aggregate(both, F.lit(0.0), lambda acc, h: acc + F.get("wt", (F.array_position("sh", h) - 1).cast("int")))
-    similarity = common / (total + F.size("win") - F.size(both))
+    win = F.slice("hs", F.col("start") + 1, F.col("m"))
+    laid = (hit.where(~F.coalesce(goes_on, F.lit(False))).select("row", "doc_id", "item", start.alias("start"), "m", "hs")
+            .select("row", "doc_id", "item", "start", (F.size(win) + SHINGLE - 1).alias("n_words"), F.array_distinct(win).alias("win")))
+    windows = stored(laid.dropDuplicates(["row", "start", "item"]), "windows")
+
+    found = windows.join(items.select("item", "item_id", "first", "wt", "total"), "item")
+    both = F.array_intersect("first", "win")
+    common = F.aggregate(both, F.lit(0.0), lambda acc, h: acc + F.get("wt", (F.array_position("first", h) - 1).cast("int")))
+    similarity = common / (F.col("total") + F.size("win") - F.size(both))
     best = F.max_by(F.struct("start", "n_words"), F.struct(F.col("similarity"), -F.col("start")))
     return (found.withColumn("similarity", F.round(similarity, 9)).where(F.col("similarity") >= SIMILARITY)
             .groupBy("row", "doc_id", "item_id").agg(F.max("similarity").alias("similarity"), best.alias("at"), F.count_distinct("start").alias("n_places"))

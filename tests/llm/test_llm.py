@@ -258,6 +258,19 @@ def test_leaks_odd_inputs(spark, odd, none):
     assert decontaminate.find_leaks(odd, items.where("item_id < 0")).count() == 0
 
 
+def test_leaks_near_the_threshold_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    items = [(i, word(n)) for i, n in enumerate([22, 27, 15, 50, 59] * 12)]
+    near = [(i, [*word(30), *word(1), *w[1:-1], *word(1), *word(30)]) for i, w in items]          # both end words changed
+    near += [(100 + i, [*word(30), *w[:-1], *word(31)]) for i, w in items]                        # the last word changed
+    near += [(200 + i, [*word(30), *w[:len(w) - len(w) // 11], *word(40)]) for i, w in items]      # cut
+    text = lambda rows: [(i, " ".join(w)) for i, w in rows]
+    got = decontaminate.find_leaks(spark.createDataFrame(text(near), "doc_id long, text string"), spark.createDataFrame(text(items), "item_id long, text string"))
+    want = leak_rows(text(near), text(items))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 150
+
+
 def test_decontamination_is_native(spark):
     from dimfold.plans.inspect import plan_text
 
