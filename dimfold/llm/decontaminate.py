@@ -4,8 +4,9 @@ A window of an item's size that reaches the similarity shares a five-word shingl
 where a text shares a shingle with an item (position in the text less position in the item), and each is verified
 against that item by the exact weighted similarity of five-word shingles; no fingerprint decides before that, so no
 window that could be accepted is left out.
-Shingles that several items share weigh less: ln(1 + items / items with it) / ln(1 + items); a shingle outside the
-item weighs 1.
+Shingles that several items share weigh less: ln(1 + items / items with it) / ln(1 + items), where copied items
+count once; a window's shingle outside the item weighs the mean of the item's own shingles, so that no item needs a
+nearer copy than others because much of it is repeated in the benchmark.
 
 Defined results: null and empty texts, and texts or items under five words, match nothing; case, punctuation and
 white space don't count; repeated items match each for itself; repeated documents keep a result each under
@@ -43,8 +44,9 @@ def index_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
     base = (benchmark.select(F.col(id_col).cast("long").alias("item_id"), words(F.col(text_col).cast("string")).alias("w"))
             .withColumn("item", F.monotonically_increasing_id()).withColumn("sh", shingles("w")).where(F.size("sh") > 0).drop("w"))
     base = stored(base, "items")      # item numbers are fixed by writing them
-    n = base.count()
-    df = base.select("item", F.explode("sh").alias("h")).groupBy("h").agg(F.count_distinct("item").alias("df"))
+    distinct = stored(base.select("sh").distinct(), "distinct-items")
+    n = distinct.count()
+    df = distinct.select(F.explode(F.array_distinct("sh")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     weight = F.log(1 + F.lit(float(n)) / F.col("df")) / F.log(F.lit(1.0 + n))
     flat = base.select("item", F.posexplode(F.array_distinct("sh")).alias("q", "h")).join(df, "h").select("item", F.struct("q", "h", weight.alias("wt")).alias("s"))
     weighed = flat.groupBy("item").agg(F.array_sort(F.collect_list("s")).alias("s")).select("item", F.col("s.h").alias("first"), F.col("s.wt").alias("wt"))
@@ -74,7 +76,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     found = windows.join(items.select("item", "item_id", "first", "wt", "total"), "item")
     both = F.array_intersect("first", "win")
     common = F.aggregate(both, F.lit(0.0), lambda acc, h: acc + F.get("wt", (F.array_position("first", h) - 1).cast("int")))
-    similarity = common / (F.col("total") + F.size("win") - F.size(both))
+    outside = (F.size("win") - F.size(both)) * F.col("total") / F.size("first")
+    similarity = common / (F.col("total") + outside)
     best = F.max_by(F.struct("start", "n_words"), F.struct(F.col("similarity"), -F.col("start")))
     return (found.withColumn("similarity", F.round(similarity, 9)).where(F.col("similarity") >= SIMILARITY)
             .groupBy("row", "doc_id", "item_id").agg(F.max("similarity").alias("similarity"), best.alias("at"), F.count_distinct("start").alias("n_places"))

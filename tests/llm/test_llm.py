@@ -271,6 +271,18 @@ def test_leaks_near_the_threshold_equal_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 150
 
 
+def test_leaks_of_items_repeated_in_the_benchmark(spark):
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    copied, varied = word(59), word(59)
+    items = [*[copied] * 20, *[[*varied[:-1], *word(1)] for _ in range(20)], *[word(40) for _ in range(40)]]
+    docs = [[*word(20), *w[:29], *word(1), *w[30:], *word(20)] for w in (copied, items[20], items[-1])]      # 50 of 60 shingles are shared
+    docs += [[*word(20), *w[:25], *word(1), *w[26:34], *word(1), *w[35:], *word(20)] for w in (copied, items[20])]      # 45 of 65
+    text = lambda rows: spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(text(docs), text(items).withColumnRenamed("doc_id", "item_id")).collect()}
+    assert {(0, i) for i in range(20)} | {(1, 20)} <= got and {d for d, _ in got} <= {0, 1, 2}
+
+
 def test_decontamination_is_native(spark):
     from dimfold.plans.inspect import plan_text
 
