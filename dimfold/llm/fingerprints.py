@@ -2,7 +2,7 @@
 
 A paragraph (the text between line ends) is hashed to a wide vector, a document's fingerprint is the sum of its
 paragraphs' vectors: ``STRONG`` lanes modulo 2**64 from BLAKE2b of the paragraph's bytes, and ``WIDE`` lanes modulo
-2**16 to which every run of three words of the paragraph adds +1 or -1 in ``SIGNS`` hashed lanes.  Sums do
+2**64 to which every run of three words of the paragraph adds +1 or -1 in ``SIGNS`` hashed lanes.  Sums do
 not depend on the order of paragraphs; a paragraph is inserted or deleted by adding or subtracting its vector
 (``Fingerprint.insert`` / ``delete``).  Equal sums mean equal multisets of paragraphs; the cosine of the wide lanes
 estimates the share of common word runs and gives the likeness (0 to 1).
@@ -35,15 +35,15 @@ RUN = 3
 @dataclasses.dataclass
 class Fingerprint:
     strong: np.ndarray      # uint64, modulo 2**64
-    wide: np.ndarray        # uint16, modulo 2**16
+    wide: np.ndarray        # uint64, modulo 2**64
 
     def text(self) -> str:
-        return base64.b64encode(self.strong.astype("<u8").tobytes() + self.wide.astype("<u2").tobytes()).decode()
+        return base64.b64encode(self.strong.astype("<u8").tobytes() + self.wide.astype("<u8").tobytes()).decode()
 
     @classmethod
     def of_text(cls, s: str) -> Fingerprint:
         raw = base64.b64decode(s)
-        return cls(np.frombuffer(raw[: 8 * STRONG], "<u8").astype(np.uint64), np.frombuffer(raw[8 * STRONG:], "<u2").astype(np.uint16))
+        return cls(np.frombuffer(raw[: 8 * STRONG], "<u8").astype(np.uint64), np.frombuffer(raw[8 * STRONG:], "<u8").astype(np.uint64))
 
     def insert(self, paragraphs: list[str]) -> Fingerprint:
         other = fingerprints(["\n".join(paragraphs)])[0]
@@ -56,7 +56,7 @@ class Fingerprint:
     def likeness(self, other: Fingerprint) -> float:
         if np.array_equal(self.strong, other.strong) and np.array_equal(self.wide, other.wide):
             return 1.0
-        a, b = self.wide.view(np.int16).astype(np.float64), other.wide.view(np.int16).astype(np.float64)
+        a, b = self.wide.view(np.int64).astype(np.float64), other.wide.view(np.int64).astype(np.float64)
         norm = np.sqrt((a @ a) * (b @ b))
         return float(min(max((a @ b) / norm, 0.0), 1.0)) if norm else 0.0
 
@@ -118,7 +118,7 @@ def fingerprints(texts: list[str]) -> list[Fingerprint]:
             b += 1
         np.add.at(wide, owner[a:b], _wide(pieces[a:b]))
         a = b
-    return [Fingerprint(strong[i], wide[i].astype(np.uint16)) for i in range(len(raws))]
+    return [Fingerprint(strong[i], wide[i].astype(np.uint64)) for i in range(len(raws))]
 
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -164,6 +164,13 @@ def test_fingerprint_is_a_multiset_hash():
     assert fingerprints.fingerprints([long, "x"])[0].text() == fingerprints.fingerprints([long])[0].text()
 
 
+def test_likeness_of_a_very_repetitive_text():
+    for n in (40_000, 1 << 16, 100_000):
+        text = "a short line\n" * n
+        f, g = fingerprints.fingerprints([text, fingerprints.edited(text, "other words here\n" * n)])
+        assert f.likeness(g) > 0.9 and fingerprints.Fingerprint.of_text(f.text()).likeness(g) == f.likeness(g)
+
+
 def test_likeness_tells_edits_from_strangers(spark):
     got = registry.op5_fingerprints(spark, SF_SMALL).toPandas()
     big = got[got.n_chars > 1000]
