@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimfold.llm import bpe, decontaminate, fingerprints, language_id, license_scan, near_dedup, quality, token_counts, token_store, url_filter
+from dimfold.llm import (
+    bpe, byte_bpe, decontaminate, fingerprints, language_id, license_scan, near_dedup, periodic_runs, quality, token_counts, token_store, url_filter, whitening)
 from dimfold.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 @functools.cache
@@ -20,6 +22,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@functools.cache
+def ranks_path() -> tuple[str, str]:
+    """Path of the rank file, and the pattern that goes with it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -60,6 +70,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), *ranks_path())
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +90,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_token_counts, op2_near_dedup, op3_url_filter, op4_bpe, op5_fingerprints, op6_decontaminate, op7_token_store,
-           op8_license_scan, op9_language_id, op10_quality)
+           op8_license_scan, op9_language_id, op10_quality, op11_byte_bpe, op12_whitening, op13_periodic_runs)
     return {f.__name__: f for f in ops} | {"pipeline": _pipeline}
 
 
