@@ -15,5 +15,11 @@ FOLD_DAYS = 3              # snapshot of RUN_DATE - 3 built in batch, then 3 dai
 MONTH_SHIFT_DAYS = 3
 MONTH_RUN_DATE = dt.date(2024, 2, 2)
 
+# history segments: items of a segment (a production table takes thousands)
+SEGMENT_ITEMS = 4
+
+# late events: minutes of every hour whose events land after all others
+LATE_MINUTES = (30, 32)
+
 # stream de-duplication: the landing folder receives this many time slices, one after the other
 LANDING_SLICE_DAYS = 5

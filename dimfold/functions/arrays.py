@@ -6,13 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def append(arr: Column, elem: Column) -> Column:
-    """``arr || [elem]`` where a NULL array counts as empty (Spark's concat would give NULL)."""
-    return F.when(arr.isNull(), F.array(elem)).otherwise(F.concat(arr, F.array(elem)))
+def chained(*arrays: Column) -> Column:
+    """The arrays one after the other; a NULL array counts as empty (Spark's concat would give NULL)."""
+    return F.flatten(F.array_compact(F.array(*arrays)))
 
 
-def prepend(elem: Column, arr: Column) -> Column:
-    return F.when(arr.isNull(), F.array(elem)).otherwise(F.concat(F.array(elem), arr))
+def only(there: Column, elem: Column) -> Column:
+    """``[elem]`` where the condition holds, else NULL: an element to chain to an array, or none."""
+    return F.when(there, F.array(elem))
 
 
 def fit_length(arr: Column, n: Column, fill: Column) -> Column:

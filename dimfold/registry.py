@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from dimfold import config as C
 from dimfold.functions import arrays, classify
 from dimfold.functions.props import prop
-from dimfold.operators import bucketize, contracts, datelist, dedup, facts, graph, history, reduced, scd
-from dimfold.plans import fold, sinks
+from dimfold.operators import as_of, bucketize, contracts, datelist, dedup, facts, graph, history, key_filter, reduced, scd, segments
+from dimfold.plans import corrections, fold, merge, sinks
 from dimfold.session import shared_dir
 from dimfold.sources import views
 from dimfold.streaming import dedup as stream_dedup
 from dimfold.streaming import fold as stream_fold
+from dimfold.streaming import hour_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -336,10 +337,21 @@ def q_enum_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("key_contract_built")
 def q_key_contract_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The declared keys of built tables: rows, distinct keys and keys that break the contract."""
+    """The twelve declared keys of built tables: rows, distinct keys and keys that break the contract."""
     a = actor_classes(spark, sf_dir)
+    ev, moved = views.events(spark, sf_dir), _shifted(spark, sf_dir)
+    first_day = moved.select(F.min(F.to_date("event_time"))).first()[0] or C.MONTH_RUN_DATE
+    hosts = datelist.host_build(moved, first_day).unionByName(datelist.host_build(moved, C.MONTH_RUN_DATE))
+    v, e = graph_tables(spark, sf_dir)
     built = [
         ("actors", a, ["actor_id", "year"]),
+        ("users_devices_cumulated", datelist.device_build(ev, views.devices(spark, sf_dir), C.RUN_DATE), ["user_id", "device_id", "date"]),
+        ("hosts_cumulated", datelist.host_build(ev, C.RUN_DATE), ["host", "date"]),
+        ("host_activity_reduced", reduced.host_batch(hosts, from_first_seen=True), ["month", "host"]),
+        ("players_scd", scd.scd2_full(players(spark, sf_dir), C.SCD_CUTOFF, **_PLAYERS_SCD), ["player_name", "start_season"]),
+        ("vertices", v, ["identifier", "type"]),
+        ("edges", e, _EDGE_KEY),
+        ("array_metrics", reduced.metric_build(moved, C.MONTH_RUN_DATE), _METRIC_KEY),
         ("actors_scd", scd.scd2_full(a, C.SCD_CUTOFF), ["actor_id", "start_year"]),
         ("fct_game_details", fct_game_details(spark, sf_dir), ["dim_game_date", "dim_team_id", "dim_player_id"]),
         ("players", players(spark, sf_dir), ["player_name", "current_season"]),
@@ -348,6 +360,31 @@ def q_key_contract_built(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [contracts.key_summary(df, keys, name) for name, df, keys in built])
 
 
+def _event_slices(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """The events in slices of LANDING_SLICE_DAYS days, each a pruned read."""
+    span = views.events(spark, sf_dir).agg(F.min(F.to_date("event_time")).alias("lo"), F.max(F.to_date("event_time")).alias("hi")).first()
+    out = []
+    while span.lo is not None and (day := span.lo + dt.timedelta(days=len(out) * C.LANDING_SLICE_DAYS)) <= span.hi:
+        out.append((f"slice-{len(out)}", views.events(spark, sf_dir, first=day, last=day + dt.timedelta(days=C.LANDING_SLICE_DAYS - 1))))
+    return out
+
+
+_VISIT_KEY = ["user_id", "device_id", "event_type"]
+
+
+@register("key_contract_partitions")
+def q_key_contract_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key over a table that grows slice by slice: each new slice is compared with itself and, through stored
+    filters, with all slices before it; counts of violations by the slice that holds the key already."""
+    slices = _event_slices(spark, sf_dir)
+    guard = key_filter.KeyGuard(spark, shared_dir(spark, "key_guard"), _VISIT_KEY, expected_keys=10_000)
+    found = [guard.add(rows.select(*_VISIT_KEY), name).withColumn("checked", F.lit(name)) for name, rows in slices]
+    if not found:
+        return spark.createDataFrame([], "checked string, violation string, held_by string, n_keys long")
+    return (reduce(DataFrame.unionByName, found).groupBy("checked", "violation", F.col(guard.part).alias("held_by"))
+            .agg(F.count(F.lit(1)).alias("n_keys")))
+
+
 @register("key_contract")
 def q_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.key_violations(views.game_details(spark, sf_dir), list(dedup.DETAIL_KEY))
@@ -371,9 +408,12 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_tables(spark, sf_dir)[0]
 
 
-def stored_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both graph tables as consumers find them: vertices stored by type, edges by edge type."""
-    v, e = graph_tables(spark, sf_dir)
+def stored_graph(spark: SparkSession, sf_dir: str, edges: Callable[..., DataFrame], keys: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The partitions of the graph tables that a read needs, as consumers find them: player vertices and one kind of
+    edges, stored with the properties that are read as typed columns.  Both come from box scores de-duplicated once."""
+    rows = sinks.materialize(spark, graph.player_game_rows(views.game_details(spark, sf_dir)), "player_games")
+    v = graph.typed_properties(graph.player_vertices(rows, deduplicate=False), graph.PLAYER_PROPERTIES)
+    e = graph.typed_properties(edges(rows, deduplicate=False), keys)
     v_path, e_path = shared_dir(spark, "vertices"), shared_dir(spark, "edges")
     sinks.write_snapshot(v, v_path, ["type"])
     sinks.write_snapshot(e, e_path, ["edge_type"])
@@ -419,15 +459,15 @@ def q_graph_edges_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("graph_max_property")
 def q_graph_max_property(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = stored_graph(spark, sf_dir)
+    v, e = stored_graph(spark, sf_dir, graph.plays_in_edges, graph.PLAYS_IN_PROPERTIES)
     # the property stands on the edges of one type: only their partition is read
-    return graph.max_property(v.where("type = 'player'"), e.where("edge_type = 'plays_in'"))
+    return graph.max_typed_property(v.where("type = 'player'"), e.where("edge_type = 'plays_in'"))
 
 
 @register("graph_pair_vs_career")
 def q_graph_pair_vs_career(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = stored_graph(spark, sf_dir)
-    return graph.pair_vs_career(v.where("type = 'player'"), e.where("edge_type in ('shares_team', 'plays_against')"))
+    v, e = stored_graph(spark, sf_dir, graph.pair_edges, graph.PAIR_PROPERTIES)
+    return graph.typed_pair_vs_career(v.where("type = 'player'"), e.where("edge_type in ('shares_team', 'plays_against')"))
 
 
 @register("map_properties")
@@ -442,8 +482,8 @@ def q_map_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_datelist_device_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = views.events(spark, sf_dir)
     dev = sinks.materialize(spark, dedup.dedup_dimension(views.devices(spark, sf_dir)), "devices")     # one pass for all days
-    snap = _folded(datelist.device_build(ev, dev, C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS)), C.RUN_DATE, C.FOLD_DAYS,
-                   "users_devices_cumulated", lambda yesterday, d: datelist.device_step(ev, dev, yesterday, d))
+    snap = _folded(datelist.device_build(ev, dev, C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS), deduplicated=True), C.RUN_DATE, C.FOLD_DAYS,
+                   "users_devices_cumulated", lambda yesterday, d: datelist.device_step(ev, dev, yesterday, d, deduplicated=True))
     lst = F.col("device_activity_datelist")
     return snap.select(
         "user_id", "device_id", "date", F.size(lst).alias("n_entries"),
@@ -515,14 +555,14 @@ def array_metrics_folded(spark: SparkSession, sf_dir: str, run_date: dt.date = C
                          days: int = C.FOLD_DAYS) -> DataFrame:
     """Month arrays built in batch up to ``run_date - days``, then one daily step per day.
 
-    Each step reads the events of its day alone, replaces the month partition it
-    read (staged first), and the next step reads files, so the plan stays one step
-    deep however many days run.
+    Each step reads the events of its day alone and writes the month once, under its
+    own run; the next step reads those files, so the plan stays one step deep however
+    many days run.
     """
     start = run_date - dt.timedelta(days=days)
     initial = reduced.metric_build(_shifted(spark, sf_dir, last=start), start)
-    return fold.fold(spark, shared_dir(spark, "array_metrics"), initial, _fold_days(run_date, days),
-                     lambda table, d: reduced.metric_step(_shifted(spark, sf_dir, d, d), table, d), "month_start", stage=True)
+    return fold.fold_versions(spark, shared_dir(spark, "array_metrics"), initial, _fold_days(run_date, days),
+                              lambda table, d: reduced.metric_step(_shifted(spark, sf_dir, d, d), table, d), "month_start")
 
 
 @register("reduced_metric_step")
@@ -548,8 +588,8 @@ def _host_report(t: DataFrame) -> DataFrame:
 def q_reduced_host_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = C.MONTH_RUN_DATE - dt.timedelta(days=C.FOLD_DAYS)
     initial = reduced.host_batch(datelist.host_build(_shifted(spark, sf_dir, last=start), start), from_first_seen=True)
-    table = fold.fold(spark, shared_dir(spark, "host_activity_reduced"), initial, _fold_days(C.MONTH_RUN_DATE, C.FOLD_DAYS),
-                      lambda t, d: reduced.host_step(_shifted(spark, sf_dir, d, d), t, d), "month", stage=True)
+    table = fold.fold_versions(spark, shared_dir(spark, "host_activity_reduced"), initial, _fold_days(C.MONTH_RUN_DATE, C.FOLD_DAYS),
+                               lambda t, d: reduced.host_step(_shifted(spark, sf_dir, d, d), t, d), "month")
     return _host_report(table)
 
 
@@ -623,6 +663,14 @@ def q_bucketize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucketize.bucketize(o, "o_totalprice", n_buckets=5, out="price_bucket")
 
 
+@register("bucketize_stored")
+def q_bucketize_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same buckets from sketches that every order year has left in a stored table."""
+    o = views.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"])
+    kept = sinks.materialize(spark, bucketize.sketches(o, "o_totalprice", [F.year("o_orderdate").alias("year")]), "price_sketches")
+    return bucketize.bucketize(o.select("o_orderkey", "o_totalprice"), "o_totalprice", n_buckets=5, out="price_bucket", stored=kept)
+
+
 @register("bucketed_fact")
 def q_bucketed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Box scores bucketed by player once; the per-player aggregate then needs no exchange."""
@@ -639,3 +687,114 @@ def q_scd2_join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each film credit with the actor's SCD2 version valid in the film's year."""
     films = views.actor_films(spark, sf_dir).select(F.col("actorid").alias("actor_id"), "filmid", "year")
     return scd.scd2_join_as_of(films, actors_scd(spark, sf_dir, C.NEXT_YEAR))
+
+
+@register("scd2_merge_as_of")
+def q_scd2_merge_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by merging versions and credits in one sorted stream: linear in both, however many versions an actor has."""
+    films = views.actor_films(spark, sf_dir).select(F.col("actorid").alias("actor_id"), "filmid", "year")
+    return as_of.merge_as_of(films, actors_scd(spark, sf_dir, C.NEXT_YEAR), "actor_id", "year", "start_year", "end_year", ["quality_class", "is_active"])
+
+
+# ------------------------------------------------------------------ late data, merges, segments, uniques that add up
+
+def _landed_late(spark: SparkSession, sf_dir: str, landing: str) -> DataFrame:
+    """Land the events in two deliveries, those of LATE_MINUTES after all others; returns the feed."""
+    ev = views.events(spark, sf_dir)
+    late = F.minute("event_time").between(*C.LATE_MINUTES)
+    ev.where(~late).write.mode("append").parquet(landing)
+    ev.where(late).write.mode("append").parquet(landing)
+    return ev
+
+
+@register("dedup_hour_tree")
+def q_dedup_hour_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First visit of a user's device by day and type, and how many there were, from the roots of the hours' merge trees;
+    late events have re-merged the paths of their hours."""
+    landing, path = shared_dir(spark, "tree_landing"), shared_dir(spark, "hour_tree")
+    ev = views.events(spark, sf_dir)
+    late = F.minute("event_time").between(*C.LATE_MINUTES)
+    for part in (~late, late):                                    # two deliveries, an update each
+        rows = ev.where(part)
+        rows.write.mode("append").parquet(landing)
+        hour_tree.update(spark, path, spark.read.schema(ev.schema).parquet(landing), hour_tree._hours(rows, "event_time"), _VISIT_KEY)
+    return hour_tree.day_rows(spark, path).select("day", *_VISIT_KEY, "event_id", "event_time", hour_tree.COPIES)
+
+
+@register("fold_corrected")
+def q_fold_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily folds driven by landed files whose late events correct the snapshots folded before, for their users alone."""
+    landing, path, log = shared_dir(spark, "late_landing"), shared_dir(spark, "users_cumulated"), shared_dir(spark, "late_log")
+    ev = _landed_late(spark, sf_dir, landing)
+    start = C.RUN_DATE - dt.timedelta(days=C.FOLD_DAYS + 1)
+    on_time = ev.where(~F.minute("event_time").between(*C.LATE_MINUTES))
+    corrections.write_day(datelist.dates_build(on_time, start), path)
+    files = len(spark.read.schema(ev.schema).parquet(landing).inputFiles())
+    snap = stream_fold.fold_with_corrections(spark, landing, ev.schema, path, log, datelist.dates_step, datelist.dates_build,
+                                             {"user_id": "user_id"}, shared_dir(spark, "late_ckpt"), max_files_per_trigger=max(1, files // 2))
+    return snap.select("user_id", "date", F.size("dates_active").alias("n_dates"), _days_text(F.col("dates_active")).alias("dates"))
+
+
+@register("merge_by_key")
+def q_merge_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run date's month arrays merged into a stored table, of which only the touched buckets are rewritten."""
+    before = C.MONTH_RUN_DATE - dt.timedelta(days=1)
+    path = shared_dir(spark, "array_metrics_merge")
+    merge.create(reduced.metric_build(_shifted(spark, sf_dir, last=before), before), path, _METRIC_KEY, buckets=16)
+    today = _shifted(spark, sf_dir, C.MONTH_RUN_DATE, C.MONTH_RUN_DATE)
+    incoming = reduced.metric_step(today, merge.read(spark, path), C.MONTH_RUN_DATE)
+    merge.merge(sinks.materialize(spark, incoming, "incoming"), path)
+    return _metric_report(merge.read(spark, path))
+
+
+_SEASON_ITEM = ["gp", "pts", "reb", "ast"]
+
+
+def season_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ps = views.player_seasons(spark, sf_dir).where(F.col("season").between(C.FIRST_YEAR, C.NEXT_YEAR))
+    return segments.build(ps, "player_name", ["season"], _SEASON_ITEM, C.SEGMENT_ITEMS)
+
+
+@register("history_segments")
+def q_history_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Film credits of every actor in numbered segments of bounded length, last years appended to the open segments."""
+    films = views.actor_films(spark, sf_dir).withColumnRenamed("actorid", "actor_id")
+    order, items = ["year", "filmid"], ["film", "votes", "rating"]
+    stored = sinks.materialize(spark, segments.build(films.where(F.col("year") <= C.SCD_CUTOFF), "actor_id", order, items, C.SEGMENT_ITEMS), "segments")
+    later = segments.append(stored, films.where(F.col("year") > C.SCD_CUTOFF), "actor_id", order, items, C.SEGMENT_ITEMS)
+    return sinks.upsert(stored, later, ["actor_id", "segment"]).select(
+        "actor_id", "segment", "n_items", F.col("first").alias("first_year"), F.col("last").alias("last_year"),
+        arrays.joined(F.col("items"), lambda x: x["filmid"]).alias("film_ids"))
+
+
+@register("segments_explode")
+def q_segments_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 over segments: the seasons of every player's snapshot of each year."""
+    flat = segments.explode(season_segments(spark, sf_dir), "player_name")
+    years = F.explode(F.sequence(F.col("season"), F.lit(C.NEXT_YEAR))).alias("current_season")
+    return flat.select("player_name", years, "season", *_SEASON_ITEM)
+
+
+@register("segments_first_last")
+def q_segments_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = segments.first_last(season_segments(spark, sf_dir), "player_name", "pts")
+    return out.select("player_name", F.col("first_value").alias("first_season_pts"), F.col("last_value").alias("last_season_pts"),
+                      F.col("n_items").cast("int").alias("number_of_active_seasons"), F.round("growth", 4).alias("pts_growth"))
+
+
+def stored_user_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.materialize(spark, datelist.host_user_bitmaps(views.events(spark, sf_dir), F.lit(True)), "host_user_bitmaps")
+
+
+@register("host_uniques_daily")
+def q_host_uniques_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datelist.unique_users(stored_user_bitmaps(spark, sf_dir), ["host", "date"])
+
+
+@register("host_uniques_monthly")
+def q_host_uniques_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of a month from the stored days, and of all hosts together."""
+    stored = stored_user_bitmaps(spark, sf_dir)
+    month = F.trunc("date", "MM").alias("month")
+    per_host = datelist.unique_users(stored, ["host", month])
+    return per_host.unionByName(datelist.unique_users(stored, [month]).withColumn("host", F.lit("all hosts")))
