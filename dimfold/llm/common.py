@@ -70,7 +70,7 @@ BROADCAST_IDS = 2_000_000
 
 
 def small_or_shuffled(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
-    """A one-column table marked for broadcast if its counted size allows it, else as it is."""
+    """A narrow table marked for broadcast if its counted size allows it, else as it is."""
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
 
 

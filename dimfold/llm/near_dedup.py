@@ -2,44 +2,42 @@
 
 1. Document frequencies of the five-word shingles of all texts are counted into a small table of fixed size
    (``DEPTH`` hashed rows of ``WIDTH`` counters, the least counter is read), summed over the partitions.  A shingle's
-   weight is its count in the text times its inverse document frequency ln(N / df) / ln(1 / COMMON), ``LEAST_WEIGHT`` to 1:
-   only shingles in more than ``COMMON`` of all texts weigh less.
-2. Every text gets ``BINS`` samples: shingles are dealt into bins by hash, and in each bin ICWS draws one with
-   probability proportional to its weight, the same one for equal weighted sets.  Empty bins take the sample of the
-   next bin that has one.  ``BANDS`` bands of neighbouring bins are hashed.
-3. Equal texts are folded into their least id.  Texts that share a band's hash are linked to leaders of that hash
-   (the least id, and the least by a hash of the id), never to each other in pairs.  Links are verified by the exact
-   weighted Jaccard similarity (``SIMILARITY`` or more).  Bands whose texts are still in different classes
-   are linked again, with other leaders, for ``ROUNDS`` rounds and on from there until a round finds no link.
-   Then every two texts of different classes in a band are compared, but those that ``rest_of_bands`` shows by
-   their rarest shingles (weighted prefix filter) to be under ``SIMILARITY``.
-4. Verified links give classes as connected components, by least labels with pointer jumping over written tables.
+   weight is its count in the text times its inverse document frequency ln((N + PRIOR) / df) / ln(1 / COMMON), cut to
+   ``LEAST_WEIGHT`` .. 1: the same formula for any number N of texts.  Shingles in more than ``COMMON`` of all texts weigh less.
+2. Every distinct text is a unit; copies are folded into it.  A unit gets ``BINS`` samples: shingles are dealt into bins by
+   hash, and in each bin ICWS draws one with probability proportional to its weight, the same one for equal weighted
+   sets.  Empty bins take the sample of the next bin that has one.  ``BANDS`` bands of neighbouring bins are hashed.
+3. Each band's hash has two leaders, the least of its units and one drawn from them, and every unit of the band is paired
+   with them: at most two pairs a band and unit, however large a group is.  Pairs are verified by the exact weighted
+   Jaccard similarity (``SIMILARITY`` or more).  The links found label each unit by the least that it is linked to.
+4. What is left is whole and exact (``rest_of_bands``): units in bands that hold several labels are paired if they share one
+   of their rarest shingles at a place that leaves enough weight to reach the similarity (weighted prefix filter, which
+   loses no pair).  Most of a group of near copies has one label by then, and no label is paired with itself.  Of any two
+   labels one pair is verified first; if it is a link, the others of the two need no look.
+5. Classes are the connected components of all links, by least labels with pointer jumping over written tables.
 
 Defined results: one row per document id with its class (the least id in it); null is an empty text; empty texts are
 equal to each other; texts without words are grouped by equality alone; a text under five words has one shingle;
 rows that repeat an id are one document with several texts; rows without an id are left out; an empty table gives no
-rows; other columns are not read.
+rows; other columns are not read.  ``first_of_classes`` decides on rows instead, with or without an id.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import Words, counted, mix, partitions, slices, small_or_shuffled, stored, utf8
+from dimfold.llm.common import Words, counted, mix, ship, slices, small_or_shuffled, stored, utf8
 
 SHINGLE = 5
 SIMILARITY = 0.8
 COMMON = 0.01
+PRIOR = 1000                # texts that inverse frequencies count beside the real ones, so that a pair in a small table is not "common"
 LEAST_WEIGHT = 0.8          # so near copies that hold a large part of all texts keep the weight of what they share
 DEPTH, WIDTH = 2, 1 << 18
 BINS, BANDS = 64, 16
-ROUNDS = 3                  # at least
-SMALL_BAND = 8              # up to so many texts of a band are compared without the prefix filter
 SLACK = 1 - 1e-6            # for rounding in the sums of the prefix filter
 CHUNK_DOCS = 500            # rows of a key that stay together in a join, see ``spread_join``
 
@@ -97,11 +95,11 @@ def features_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def idf(features: np.ndarray, table: np.ndarray, n: int) -> np.ndarray:
-    """Inverse document frequency, 1 for shingles in at most COMMON of the texts (and if there are under 1 / COMMON texts)."""
-    if not len(features) or n * COMMON <= 1:
-        return np.ones(len(features))
+    """Inverse document frequency, 1 for shingles in at most COMMON of the texts."""
+    if not len(features):
+        return np.ones(0)
     df = np.minimum.reduce([table[row][_buckets(features, row)] for row in range(DEPTH)])
-    return np.clip(np.log(n / np.clip(df, 1, n)) / np.log(1 / COMMON), LEAST_WEIGHT, 1.0)
+    return np.clip(np.log((n + PRIOR) / np.clip(df, 1, n)) / np.log(1 / COMMON), LEAST_WEIGHT, 1.0)
 
 
 # --------------------------------------------------------------------------- samples and bands
@@ -264,23 +262,21 @@ def prefixes(features: DataFrame, frequencies: tuple[np.ndarray, int]) -> DataFr
 
 
 def rest_of_bands(known: DataFrame, features: DataFrame, frequencies: tuple[np.ndarray, int], hot: DataFrame) -> DataFrame | None:
-    """Pairs (a, b) of texts of different classes that share a band, all that may reach the similarity; None if there are none.
+    """Pairs (a, b, bound, x, y) of units of different classes x and y that may reach the similarity, for all units in a band
+    with several classes; None if there are none.  ``bound`` tells how much they may share.
 
-    ``known`` has (id, key, label).  In a band of over SMALL_BAND texts only those are paired that share a shingle of
-    their prefixes.  Two texts need a shared weight of SIMILARITY / (1 + SIMILARITY) of the sum of their weights, so from
-    the rarest shared shingle on both have at least that; in the lighter text this is more than in its whole prefix.
-    Pairs lead from the texts outside the largest class of a group, so no class is paired with itself.
+    ``known`` has (id, key, label).  Units are paired that share a shingle of their prefixes.  Two texts need a shared
+    weight of SIMILARITY / (1 + SIMILARITY) of the sum of their weights, so from the rarest shared shingle on both have at
+    least that; in the lighter text this is more than in its whole prefix.  Pairs lead from the units outside the
+    largest class of a shingle's group, so no class is paired with itself.
     """
-    divided = stored(known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-                     .where("lo < hi").select("key", "n"), "divided")
+    divided = stored(known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key"), "divided")
     if divided.limit(1).count() == 0:
         return None
-    rows = stored(spread_join(known, divided, "key", "id", hot).select("id", "key", "label", "n"), "undecided")
-    sized = prefixes(features.join(rows.select("id").distinct(), "id", "left_semi"), frequencies)
-    whole = F.array(F.struct(F.col("key").alias("part"), F.col("total").alias("rest")))
-    cut = F.zip_with("prefix", "rest", lambda f, r: F.struct(F.xxhash64(F.col("key"), f).alias("part"), r.alias("rest")))
-    parts = stored(rows.join(sized, "id").select("id", "label", "total", F.explode(F.when(F.col("n") <= SMALL_BAND, whole).otherwise(cut)).alias("x"))
-                   .select("id", "label", "total", "x.part", "x.rest"), "parts")
+    undecided = spread_join(known, divided, "key", "id", hot).select("id", "label").distinct()
+    sized = prefixes(features.join(undecided, "id", "left_semi"), frequencies)
+    cut = F.explode(F.arrays_zip(F.col("prefix").alias("part"), F.col("rest").alias("left")))
+    parts = stored(undecided.join(sized, "id").select("id", "label", "total", cut.alias("x")).select("id", "label", "total", "x.part", F.col("x.left").alias("rest")), "parts")
     share = SIMILARITY / (1 + SIMILARITY) * SLACK
     light = F.col("rest") >= F.col("total") * (2 * share)          # may be the lighter text of a pair
     groups = (parts.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"), F.max(light).alias("light"))
@@ -290,23 +286,32 @@ def rest_of_bands(known: DataFrame, features: DataFrame, frequencies: tuple[np.n
     crowds = crowded(groups, "part")
     parts = stored(spread_join(parts, groups.select("part", "main"), "part", "id", crowds), "shared-parts")
     side = parts.where("label <> main").select("part", F.col("id").alias("a"), F.col("label").alias("of"), F.col("total").alias("weight"), F.col("rest").alias("left"))
+    bound = F.least("rest", "left") / (F.col("total") + F.col("weight"))
     return (spread_join(parts, side, "part", "id", crowds)
-            .where((F.col("label") != F.col("of")) & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("id")))
-                   & (F.least("rest", "left") >= (F.col("total") + F.col("weight")) * share))
-            .select("a", F.col("id").alias("b")).distinct())
+            .where((F.col("label") != F.col("of")) & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("id"))) & (bound >= share))
+            .groupBy("a", F.col("id").alias("b")).agg(F.min(bound).alias("bound"), F.first(F.least("label", "of")).alias("x"), F.first(F.greatest("label", "of")).alias("y")))
 
 
 # --------------------------------------------------------------------------- classes
 
+def _nearest(links: DataFrame) -> DataFrame:
+    """(id, label): the least of each linked unit and those that it is linked to."""
+    return links.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label"))
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(id, label): the least id that links (a, b) lead to, for every id in a link; tables are written between rounds."""
+    """(id, label): the least id that links (a, b) lead to, for every id in a link; tables are written between rounds.
+
+    Rows of a hub (an id in very many links) are cut into runs where they meet its label; a label that very many units
+    share meets its own label in a join of two tables alone, whose crowded partitions Spark splits.
+    """
     both = stored(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")), "labels")
+    hubs = crowded(both.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b")
+    labels = stored(_nearest(both), "labels")
     while True:
-        # least label of the neighbours ...
-        seen = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        # least label of the neighbours, and that label's own label
+        seen = spread_join(both, labels.select(F.col("id").alias("b"), "label"), "b", "a", hubs).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         step = labels.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        # ... and that label's own label
         jump = step.join(labels.select(F.col("id").alias("label"), F.col("label").alias("next")), "label", "left")
         new = stored(jump.select("id", "old", F.coalesce(F.least("label", "next"), "label").alias("label")), "labels")
         if new.where("old <> label").limit(1).count() == 0:
@@ -314,68 +319,102 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "label")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id) of every document: class_id is the least id of its class."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).where("doc_id is not null")
-    frequencies = document_frequencies(texts.select("text"))
-    signed = stored(signatures(texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("same"), "text"), frequencies), "signatures")
+def text_units(texts: DataFrame, by_document: bool) -> tuple[DataFrame, DataFrame]:
+    """(signed, units) of a table (doc_id, text).
 
-    # equal texts: one of them goes on
-    first = stored(signed.groupBy("same").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")), "first")
-    chosen = signed.join(first.select("same", F.col("id").alias("doc_id")), ["same", "doc_id"]).dropDuplicates(["same"])
-    members = stored(chosen.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
-                     .select("id", F.xxhash64("band", "key").alias("key")).distinct(), "bands")
+    ``signed`` has a row (doc_id, same) per row, ``units`` one per distinct text: (same, id, least, n, label), where ``least``
+    is the least document id of its rows, ``n`` their number, and ``label`` the least unit of its class.
+    ``by_document`` joins the classes of a document's several texts.
+    """
+    ship(texts.sparkSession)
+    frequencies = document_frequencies(texts.select("text"))
+    same = F.md5(F.col("text").cast("binary")).alias("same")
+    signed = stored(signatures(texts.select("doc_id", same, "text"), frequencies), "signatures")
+    # units are numbered in the order of their least ids, as copies mostly follow what they copy; writing fixes the numbers
+    place = [F.asc_nulls_last("least"), F.col("same")]
+    units = signed.groupBy("same").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
+    units = stored(units.repartitionByRange(*place).sortWithinPartitions(*place).withColumn("id", F.monotonically_increasing_id()), "units")
+    members = (units.select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("key")).distinct())
+    units = units.drop("bands")
+    members = stored(members, "bands")
     shared = stored(members.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n"))
                     .where("least < most").select("key", "n"), "shared-bands")
     hot = crowded(shared, "key")
     members = stored(spread_join(members, shared.select("key"), "key", "id", hot), "bands")
 
-    # texts of all documents that share a band with another
-    wanted = small_or_shuffled(members.select(F.col("id").alias("doc_id")).distinct())
-    candidates = texts.join(wanted, "doc_id", "left_semi")
-    ids = first.select(F.col("id").alias("doc_id"), "same")
-    candidates = (candidates.withColumn("same", F.md5(F.col("text").cast("binary"))).join(ids, ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id"])
-                  .select("doc_id", "text"))
-    features = stored(weighted_features(candidates, frequencies), "features")
-
-    links, labels, tried = None, None, None
-    for n in itertools.count():
-        known = members.select("id", "key", F.col("id").alias("label")) if labels is None else (
-            members.join(labels, "id", "left").select("id", "key", F.coalesce("label", "id").alias("label")))
-        known = stored(known, "known")
-        order = F.struct(F.xxhash64("id", F.lit(n)), F.col("id"), F.col("label"))
-        heads = (known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("id", "label")).alias("x"),
-                                          F.min(order).alias("y")).where("lo < hi"))
-        heads = heads.select("key", F.explode(F.array(F.struct(F.col("x.id").alias("id"), F.col("x.label").alias("label")),
-                                                      F.struct(F.col("y.id").alias("id"), F.col("y.label").alias("label")))).alias("h"))
-        pairs = (spread_join(known, heads, "key", "id", hot).where("label <> h.label")
-                 .select(F.col("h.id").alias("a"), F.col("id").alias("b")).distinct())     # b is in a few pairs a band, a may be in many
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.limit(1).count() == 0:
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = stored(verified(pairs, features), "verified")
-        if new.limit(1).count() == 0:
-            if n + 1 >= ROUNDS:
-                break
-            continue
-        links = new if links is None else links.unionByName(new)
-        # links that hold a document together that has several texts
-        labels = components(links)
+    # texts of the units that share a band with another
+    wanted = units.join(members.select("id").distinct(), "id", "left_semi").select("same", "id", "least")
+    rows = texts.select("doc_id", same, "text").join(small_or_shuffled(wanted, BROADCAST_UNITS), "same").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    features = stored(weighted_features(rows.select("id", "text").dropDuplicates(["id"]), frequencies), "features")
+
+    # leaders; their links label a unit by the least that it is linked to, and that one's least: units of one label are of one class
+    lead = F.struct(F.col("id"))
+    drawn = F.struct(F.xxhash64("id").alias("rank"), F.col("id"))
+    heads = (members.groupBy("key").agg(F.min(lead).alias("x"), F.min(drawn).alias("y"))
+             .select("key", F.explode(F.array_distinct(F.array("x.id", "y.id"))).alias("a")))
+    tried = stored(spread_join(members, heads, "key", "id", hot).where("a <> id").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    links = stored(verified(tried, features), "verified")
+    near = stored(_nearest(links.select("a", "b").union(links.select("b", "a"))), "near")
+    near = near.join(near.select(F.col("id").alias("label"), F.col("label").alias("next")), "label", "left").select("id", F.coalesce("next", "label").alias("label"))
+    known = stored(members.join(near, "id", "left").select("id", "key", F.coalesce("label", "id").alias("label")), "known")
     pairs = rest_of_bands(known, features, frequencies, hot)
     if pairs is not None:
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        new = stored(verified(stored(pairs, "pairs"), features), "verified")
-        if new.limit(1).count():
-            labels = components(new if links is None else links.unionByName(new))
-    copies = crowded(first.select("same", "n"), "same")
-    classes = spread_join(signed.select("doc_id", "same"), first.select("same", "id"), "same", "doc_id", copies).select("doc_id", "id")
-    if labels is not None:
-        classes = classes.join(labels, "id", "left").select("doc_id", F.coalesce("label", "id").alias("class_id"))
-    else:
-        classes = classes.select("doc_id", F.col("id").alias("class_id"))
+        pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        # one pair of any two labels first: if it is a link, the others of the two need no look
+        first = stored(pairs.groupBy("x", "y").agg(F.max_by(F.struct("a", "b"), F.struct("bound", "a", "b")).alias("p")).select("x", "y", "p.a", "p.b"), "first-pairs")
+        more = stored(verified(first.select("a", "b"), features), "verified")
+        settled = first.join(more, ["a", "b"], "left_semi").select("x", "y")
+        others = stored(pairs.join(settled, ["x", "y"], "left_anti").join(first, ["a", "b"], "left_anti").select("a", "b"), "other-pairs")
+        links = links.unionByName(more).unionByName(verified(others, features))
+    if by_document:
+        several = signed.groupBy("doc_id").agg(F.min("same").alias("x"), F.max("same").alias("y")).where("x < y").select("doc_id")
+        theirs = signed.select("doc_id", "same").join(several, "doc_id", "left_semi").distinct().join(units.select("same", "id"), "same")
+        links = links.unionByName(theirs.groupBy("doc_id").agg(F.min("id").alias("a"), F.collect_set("id").alias("ids"))
+                                  .select("a", F.explode("ids").alias("b")))
+    labels = components(links)
+    return signed, units.join(labels, "id", "left").select("same", "id", "least", "n", F.coalesce("label", "id").alias("label"))
+
+
+#: units (digest, two longs) are broadcast up to this many rows (some 60 MB)
+BROADCAST_UNITS = 500_000
+
+
+def _least_of_class(units: DataFrame, value) -> DataFrame:
+    """Units with the least ``value`` of their class as ``first``; the units of a large class are cut into runs."""
+    units = stored(units, "classes")
+    counts = stored(units.groupBy("label").agg(F.min(value).alias("first"), F.count(F.lit(1)).alias("n")), "class-sizes")
+    return spread_join(units, counts.select("label", "first"), "label", "id", crowded(counts, "label"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, class_id) of every document: class_id is the least id of its class."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).where("doc_id is not null")
+    signed, units = text_units(texts, by_document=True)
+    classed = stored(_least_of_class(units, F.col("least")).select("same", "n", F.col("first").alias("class_id")), "units-classed")
+    copies = crowded(classed.select("same", "n"), "same")
+    classes = spread_join(signed.select("doc_id", "same"), classed.select("same", "class_id"), "same", "doc_id", copies).select("doc_id", "class_id")
     return classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+
+
+def first_of_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each class of near-duplicate texts: the one of the least id (rows without an id last).
+
+    Rows are told apart by id and text, so a row goes only if a text like its own stays.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    signed, units = text_units(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")), by_document=False)
+    del signed
+    rank = F.struct(F.col("least").isNull(), F.col("least"), F.col("same"))
+    chosen = stored(_least_of_class(units, rank).select("same", "n", (F.col("first.same") == F.col("same")).alias("stays")), "units-chosen")
+    digest, place = "_same_text", "_place"
+    rows = docs.withColumn(digest, F.md5(text.cast("binary")))
+    mark = lambda where: small_or_shuffled(chosen.where(where).select(F.col("same").alias(digest)), BROADCAST_UNITS)
+    rows = rows.join(mark("not stays"), digest, "left_anti")
+    several = mark("stays and n > 1")
+    copies = rows.join(several, digest, "left_semi")
+    sortable = [c for c, kind in docs.dtypes if "map" not in kind and "variant" not in kind]
+    order = Window.partitionBy(digest).orderBy(F.col(id_col).cast("long").asc_nulls_last(), F.xxhash64(*sortable))
+    one = copies.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)        # cut to a row a task before the shuffle
+    return rows.join(several, digest, "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
