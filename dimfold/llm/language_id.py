@@ -8,16 +8,19 @@ distance is under ``MIN_MARGIN`` is rejected.
 
 The dictionaries are filled from a bounded sample of labelled rows: about ``SAMPLE_DOCS`` documents per language
 chosen by a hash of their id, of each a slice of ``SLICE_CHARS`` characters at a hashed position, until
-``DICT_BYTES`` are full.  Only text and language of the rows passed to ``fit`` are learnt from.
+``DICT_BYTES`` are full; with very many languages each dictionary is smaller, so that all of them stay within
+``MODEL_BYTES``.  Only text and language of the rows passed to ``fit`` are learnt from.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and rejected; with no labelled
 row everything is ``und``; with one language all texts with a letter get it with score 1; on equal sizes the
-language with more labelled rows wins, then the lesser name; repeated rows get the same result.
+language with more labelled rows wins, then the lesser name; repeated rows get the same result; a row without an id
+is learnt from and not held out; an empty table gives no rows; ids and other columns are not read in a prediction.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import json
 import re
 from collections.abc import Iterator
 
@@ -29,7 +32,8 @@ UNKNOWN = "und"
 DICT_BYTES = 128 << 10
 SAMPLE_DOCS = 400
 SLICE_CHARS = 1024
-MAX_LANGUAGES = 256         # bounds the dictionaries sent to the tasks (32 MB)
+MODEL_BYTES = 32 << 20      # of all dictionaries together, which go to the tasks
+LEAST_BYTES = 1 << 10       # of a dictionary
 MIN_MARGIN = 0.001
 PIECE_BYTES = 32 << 10
 _LETTER = re.compile(r"[^\W\d_]")
@@ -55,21 +59,34 @@ class Model:
 
 
 def is_training_row(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2, F.lit(True))
+
+
+def dictionary_bytes(languages: int) -> int:
+    """Size of each dictionary, so that those of all languages together are bounded."""
+    return max(LEAST_BYTES, min(DICT_BYTES, MODEL_BYTES // max(1, languages)))
+
+
+def spark_map(values: dict[str, int]):
+    """Look-up of a column in a small map, as one literal."""
+    known = F.from_json(F.lit(json.dumps(values)), "map<string,bigint>")
+    return lambda c: F.try_element_at(known, c)
 
 
 def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Dictionaries from labelled rows; ids only choose the sample."""
     rows = rows.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"),
                        F.col(lang_col).cast("string").alias("l")).where("l is not null and t is not null")
-    top = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()
+    top = rows.groupBy("l").count().orderBy(F.desc("count"), "l").collect()      # a row per language
     if not top:
         return Model((), ())
+    size = dictionary_bytes(len(top))
+    docs = min(SAMPLE_DOCS, -(-4 * size // SLICE_CHARS))
     scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for r in top for x in (r.l, min(scale, int(scale * SAMPLE_DOCS / r["count"]) + 1))])
+    share = spark_map({r.l: min(scale, int(scale * docs / r["count"]) + 1) for r in top})
     h = F.xxhash64("i", F.lit("dictionary"))
     at = F.pmod(F.xxhash64("i", F.lit("slice")), F.greatest(F.lit(1), F.length("t") - SLICE_CHARS + 1)).cast("int") + 1
-    sample = (rows.where(F.pmod(h, F.lit(scale)) < F.try_element_at(share, F.col("l")))
+    sample = (rows.where(F.pmod(h, F.lit(scale)) < share(F.col("l")))
               .select("l", h.alias("h"), F.xxhash64("t").alias("same"), F.substring(F.col("t"), at, F.lit(SLICE_CHARS)).alias("s")).collect())
     texts: dict[str, list[bytes]] = {r.l: [] for r in top}
     seen = set()
@@ -77,7 +94,7 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         if (r.l, r.same) not in seen:   # a copied text fills no dictionary
             seen.add((r.l, r.same))
             texts[r.l].append(plain(r.s))
-    made = [(lang, b"".join(xs)[:DICT_BYTES]) for lang, xs in texts.items()]
+    made = [(lang, b"".join(xs)[:size]) for lang, xs in texts.items()]
     return Model(tuple(lang for lang, _ in made), tuple(d for _, d in made))
 
 

@@ -125,7 +125,7 @@ def _solve(total: np.ndarray) -> np.ndarray:
 
 
 def is_training_row(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0, F.lit(True))
 
 
 def sample_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:

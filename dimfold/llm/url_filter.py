@@ -3,11 +3,14 @@
 A rule (action, host, path) fits a host and all its subdomains if the url's path starts with the rule's; the
 longest fitting rule decides.  URLs that a rule decides are the labelled ones: from a bounded sample of them
 (``TRAIN_ROWS``, chosen by hash) boosted trees are trained on length, depth, digit ratio, entropy, parameter
-counts and statistics of the host's suffixes (how many pages, which share of the labelled ones blocked, both over all
-pages).  Everything runs as DataFrame expressions and Spark ML.
+counts and statistics of the host's suffixes (pages of the top label and of the site, share blocked of the top label's
+labelled pages, all over all pages).  A page's share blocked leaves out the pages of its own fold; all pages of a site are in one
+fold, so no page's features know the label that a rule has given to its site.  Everything runs as DataFrame
+expressions and Spark ML.  ``held_out_auc`` measures the trees on the labelled sites of one fold, trained on the others.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by the
-trees; without labelled urls the verdict is ``allow``, with labels of one kind it is that kind; repeated pages are
+trees; of equally long fitting rules the one that is last in alphabetical order decides; urls of any length are judged
+whole; without labelled urls the verdict is ``allow``, with labels of one kind it is that kind; repeated pages are
 judged alike; an empty table gives no rows.  Other columns of the table are not read.
 """
 
@@ -17,6 +20,7 @@ import string
 from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -32,6 +36,8 @@ TREES = 12
 DEPTH = 4
 TRAIN_TASKS = 6
 PRIOR_ROWS = 10.0
+FOLDS = 5
+SALTS = 8               # parts of a site's or top label's pages where they meet its statistics
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -77,39 +83,69 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page id, host, path, rule, verdict, score (share of the trees' vote for block) of every page."""
+def _features(pages: DataFrame, rules: Sequence[Rule], id_col: str, url_col: str) -> tuple[DataFrame, list[str]]:
+    """(rows, names): page_id, host, path, fit, blocked (null where no rule fits), fold and the features, stored."""
     raw = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     host, path = url_parts(F.col(url_col).cast("string"))
     base = pages.select(F.col(id_col).alias("page_id"), raw.alias("url"), host.alias("host"), path.alias("path"))
     base = base.withColumn("fit", apply_rules(F.col("host"), F.col("path"), rules))
     base = base.withColumn("blocked", F.when(F.col("fit").isNotNull(), (F.col("fit.action") == "block").cast("double")))
     base = base.withColumns({"top": F.substring_index("host", ".", -1), "site": F.substring_index("host", ".", -2)})
+    base = base.withColumn("fold", F.pmod(F.xxhash64("site"), F.lit(FOLDS)).cast("int"))
     features = lexical(F.col("url"), F.col("host"), F.col("path"))
-    rows = base.select("page_id", "host", "path", "fit", "blocked", "top", "site", F.xxhash64("url").alias("h"), *[c.alias(k) for k, c in features.items()])
-    names = list(features)
-    for suffix in ("top", "site"):
-        stats = base.groupBy(suffix).agg(
-            F.log1p(F.count(F.lit(1))).alias(f"{suffix}_pages"),
-            ((F.coalesce(F.sum("blocked"), F.lit(0.0)) + PRIOR_ROWS / 2) / (F.count("blocked") + PRIOR_ROWS)).alias(f"{suffix}_blocked"))
-        rows = rows.join(stats, suffix)
-        names += [f"{suffix}_pages", f"{suffix}_blocked"]
-    rows = stored(rows.drop("top", "site"), "url-features")     # read by the training and by the judging
-
+    rows = base.select("page_id", "host", "path", "fit", "blocked", "top", "site", "fold", F.xxhash64("url").alias("h"), *[c.alias(k) for k, c in features.items()])
+    # a top label's pages by fold, and a site's: a row per top label and fold, and per site
+    by_fold = base.groupBy("top", "fold").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("blocked"), F.lit(0.0)).alias("bad"), F.count("blocked").alias("known"))
+    whole = by_fold.groupBy("top").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("known").alias("known"))
+    own = by_fold.select("top", "fold", F.col("bad").alias("own_bad"), F.col("known").alias("own_known"))
+    top = own.join(whole, "top").select("top", "fold", F.log1p("n").alias("top_pages"),
+                                        ((F.col("bad") - F.col("own_bad") + PRIOR_ROWS / 2) / (F.col("known") - F.col("own_known") + PRIOR_ROWS)).alias("top_blocked"))
+    site = base.groupBy("site").agg(F.log1p(F.count(F.lit(1))).alias("site_pages"))
+    # pages of one site or top label may be a large part of all: these rows are cut by page
+    salted = lambda side, key: side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.col("h"), F.lit(SALTS)).cast("int"))
+    rows = rows.join(salted(top, "top"), ["top", "fold", "salt"]).join(salted(site, "site"), ["site", "salt"])
+    return stored(rows.drop("top", "site", "salt"), "url-features"), [*features, "top_pages", "top_blocked", "site_pages"]
+
+
+def _trained(rows: DataFrame, names: list[str]):
+    """(assembler, model) from the labelled rows, or (None, share blocked) if they have one kind of label or none."""
     known = rows.where("blocked is not null")
     n = known.count()
     scale = 1 << 30
     share = scale if n <= TRAIN_ROWS else int(scale * TRAIN_ROWS / n)
     train = known.where(F.pmod("h", F.lit(scale)) < share).select(F.col("blocked").alias("label"), *names)
     kinds = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
-    out = ["page_id", "host", "path", F.col("fit.rule").alias("rule")]
     if kinds.lo is None or kinds.lo == kinds.hi:
-        level = F.lit(float(kinds.hi or 0.0))
-        return rows.select(*out, F.coalesce(F.col("fit.action"), F.when(level >= 0.5, "block").otherwise("allow")).alias("verdict"), level.alias("score"))
+        return None, float(kinds.hi or 0.0)
     vectors = VectorAssembler(inputCols=names, outputCol="features")
     # sorted, so that the same rows give the same trees however they were dealt out
     train = vectors.transform(train.repartitionByRange(TRAIN_TASKS, *names).sortWithinPartitions(*names, "label")).select("label", "features")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1).fit(train)
+    return vectors, GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1).fit(train)
+
+
+def held_out_auc(pages: DataFrame, fold: int, rules: Sequence[Rule] = RULES, id_col: str = "page_id", url_col: str = "url") -> float | None:
+    """Area under the curve of the score on the labelled pages of one fold's sites; None if they have labels of one kind."""
+    rows, names = _features(pages, rules, id_col, url_col)
+    vectors, model = _trained(rows.where(F.col("fold") != fold), names)
+    held = rows.where((F.col("fold") == fold) & F.col("blocked").isNotNull())
+    kinds = held.agg(F.min("blocked").alias("lo"), F.max("blocked").alias("hi")).first()
+    if kinds.lo is None or kinds.lo == kinds.hi:
+        return None
+    if vectors is None:
+        return 0.5
+    judged = model.transform(vectors.transform(held))
+    return BinaryClassificationEvaluator(labelCol="blocked").evaluate(judged)
+
+
+def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """page id, host, path, rule, verdict, score (share of the trees' vote for block) of every page."""
+    rows, names = _features(pages, rules, id_col, url_col)      # stored: read by the training and by the judging
+    vectors, model = _trained(rows, names)
+    out = ["page_id", "host", "path", F.col("fit.rule").alias("rule")]
+    if vectors is None:
+        level = F.lit(model)
+        return rows.select(*out, F.coalesce(F.col("fit.action"), F.when(level >= 0.5, "block").otherwise("allow")).alias("verdict"), level.alias("score"))
     judged = model.transform(vectors.transform(rows))
     score = vector_to_array("probability")[1]
     return judged.select(*out, F.coalesce(F.col("fit.action"), F.when(score >= 0.5, "block").otherwise("allow")).alias("verdict"), score.alias("score"))
