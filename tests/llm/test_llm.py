@@ -227,11 +227,11 @@ def shingle_sets(text):
 def leak_rows(docs, items):
     sets = [(i, shingle_sets(t)) for i, t in items]
     sets = [(i, s) for i, s in sets if s]
-    df = {}
-    for _, s in sets:
+    df, distinct = {}, {tuple(s) for _, s in sets}
+    for s in distinct:
         for h in set(s):
             df[h] = df.get(h, 0) + 1
-    weight = lambda h: np.log(1 + len(sets) / df[h]) / np.log(1 + len(sets))
+    weight = lambda h: np.log(1 + len(distinct) / df[h]) / np.log(1 + len(distinct))
     out = set()
     for d, t in docs:
         sh = shingle_sets(t)
@@ -241,8 +241,8 @@ def leak_rows(docs, items):
                 if sh[p] in mine:
                     for q in (q for q, h in enumerate(s) if h == sh[p]):
                         win = set(sh[max(p - q, 0): max(p - q, 0) + len(s)])
-                        both = sum(weight(h) for h in mine & win)
-                        if both / (sum(map(weight, mine)) + len(win - mine)) >= decontaminate.SIMILARITY:
+                        both, total = sum(weight(h) for h in mine & win), sum(map(weight, mine))
+                        if both / (total + len(win - mine) * total / len(mine)) >= decontaminate.SIMILARITY - 1e-9:
                             out.add((d, i))
     return out
 
@@ -341,7 +341,7 @@ def near_classes(rows):
     has = np.zeros((len(sets), len(number)), np.float32)
     for i, s in enumerate(sets):
         has[i, [number[h] for h in s]] = 1
-    w = np.clip(np.log(len(sets) / has.sum(axis=0)) / np.log(100), near_dedup.LEAST_WEIGHT, 1)
+    w = np.clip(np.log((len(sets) + near_dedup.PRIOR) / has.sum(axis=0)) / np.log(100), near_dedup.LEAST_WEIGHT, 1)
     both, total = (has * w) @ has.T, has @ w
     near = both / (total[:, None] + total - both) >= near_dedup.SIMILARITY
     ids = np.array([i for i, _ in rows])
