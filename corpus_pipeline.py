@@ -4,8 +4,9 @@
 (columns of documents), the last one the tokens.  ``run`` writes each stage's result to the shared folder and reads
 it again for the next stage, so a lost executor never reaches back further than one stage.
 
-Defined results: rows with null ids or texts pass the rules of each stage's operator (a null text has no language
-and goes in the first stage); columns of any name pass unchanged; an empty table gives no rows.
+Defined results: stages decide on rows, by their texts: rows without an id, or with an id that other rows have, go only for
+their own text (a null text has no language and goes in the first stage); columns of any name pass unchanged; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold.llm import bpe, decontaminate, language_id, near_dedup, quality
-from dimfold.llm.common import small_or_shuffled, stored, table
+from dimfold.llm.common import stored, table
 from dimfold.llm.registry import tokenizer_path
 
 
@@ -38,22 +39,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _kept(docs, quality.scorer(model)(F.col("text").cast("string")), lambda v: v >= quality.CUT)
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents but those of ``ids`` (a column ``drop_id``)."""
-    ids = small_or_shuffled(stored(ids, "dropped"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["drop_id"]), "left_anti")
-
-
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the least id of each class of near-duplicates."""
-    classes = near_dedup.near_duplicates(docs)
-    return without(docs, classes.where("doc_id <> class_id").select(F.col("doc_id").alias("drop_id")))
+    """Keep one row of each class of near-duplicate texts, that of the least id."""
+    return near_dedup.first_of_classes(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a benchmark item stands."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, leaks.select(F.col("doc_id").cast("long").alias("drop_id")).distinct())
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
