@@ -710,10 +710,10 @@ def _landed_late(spark: SparkSession, sf_dir: str, landing: str) -> DataFrame:
 @register("dedup_hour_tree")
 def q_dedup_hour_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First visit of a user's device by day and type, and how many there were, from the roots of the hours' merge trees;
-    late events have re-merged the paths of their hours."""
+    late events of the run date have re-merged the paths of their hours."""
     landing, path = shared_dir(spark, "tree_landing"), shared_dir(spark, "hour_tree")
     ev = views.events(spark, sf_dir)
-    late = F.minute("event_time").between(*C.LATE_MINUTES)
+    late = F.minute("event_time").between(*C.LATE_MINUTES) & (F.to_date("event_time") == F.lit(C.RUN_DATE))
     for part in (~late, late):                                    # two deliveries, an update each
         rows = ev.where(part)
         rows.write.mode("append").parquet(landing)
