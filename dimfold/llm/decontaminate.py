@@ -79,10 +79,10 @@ def near_blocks(print_col: str) -> Column:
     """struct(block, value) of every block of a fingerprint, under all values at most NEAR bits away."""
     width = BITS // BLOCKS
     per_long = 64 // width
-    changes = [0, *[1 << i for i in range(width)]]
-    block = lambda n: F.shiftrightunsigned(F.get(print_col, F.lit(n // per_long)), width * (n % per_long)).bitwiseAND(F.lit((1 << width) - 1))
-    every = [F.struct(F.lit(n).alias("block"), block(n).bitwiseXOR(F.lit(c)).cast("int").alias("value")) for n in range(BLOCKS) for c in changes]
-    return F.array(*every)
+    changes = ", ".join(str(c) for c in [0, *[1 << i for i in range(width)]])
+    block = f"shiftrightunsigned(element_at({print_col}, cast(n div {per_long} as int) + 1), {width} * (n % {per_long})) & {(1 << width) - 1}L"
+    return F.expr(f"""flatten(transform(sequence(0, {BLOCKS - 1}), n -> transform(array({changes}),
+                      c -> named_struct('block', n, 'value', cast(({block}) ^ c as int)))))""")
 
 
 def distance(a: str, b: str) -> Column:
