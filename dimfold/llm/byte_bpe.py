@@ -10,7 +10,9 @@ what changed is written in a step.  An ordered aggregation over the token rows j
 Words of over ``SHORT`` bytes contract all pairs of their least rank in one step, from the left without overlap, where
 no pair with the merged token has a lesser rank (``settled``): the same result as one by one, in fewer steps.
 
-Encoded words are kept in a bounded cache per worker; the words of a batch are encoded in blocks of ``BLOCK_BYTES``.
+Texts are cut at single spaces first and every distinct chunk of a batch is matched once: with this kind of pattern a space
+before anything but white space begins a match.  Texts with a space before white space or at their end are matched as a
+whole.  Encoded words are kept in a bounded cache per worker; new ones are encoded in blocks of ``BLOCK_BYTES``.
 
 Defined results: null is an empty text without ids; texts are encoded whole, and strings that look like special tokens
 are ordinary text; decoding unknown or null ids raises an error in ``decode``; repeated rows give repeated results; rows
@@ -20,8 +22,12 @@ without an id are kept; an empty table gives no rows; other columns are not read
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import re
 import tempfile
+from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,7 @@ from dimfold.llm.common import ship, slices, utf8
 GROUP_BYTES = 4 << 20       # bytes of text handled together
 BLOCK_BYTES = 1 << 18       # bytes of words contracted together
 BLOCK_TOKENS = 1 << 19      # tokens decoded together
-CACHE_WORDS = 300_000       # words kept in a worker (some 200 bytes each)
+CACHE_WORDS = 600_000       # words kept in a worker (some 200 bytes each)
 SHORT = 48
 MEMORY = "400MB"            # of a worker's database; only a word of many megabytes goes over it, to the worker's own scratch folder
 
@@ -51,21 +57,19 @@ create table settled as
 select id from vocab where id not in (select a from merges where id <= a union select b from merges where id <= b)
 """
 
-# one pair of a word in a step
+# one pair of a word in a step; a row knows its neighbour's position
 _CONTRACT = """
-with recursive t(w, pos, id) using key (w, pos) as (
-  select w, pos, id from word_bytes
+with recursive t(w, pos, id, next_pos) using key (w, pos) as (
+  select w, pos, id, next_pos from word_bytes
   union all (
-    with live as (
-      select w, pos, id, lead(id) over nx as next_id, lead(pos) over nx as next_pos
-      from recurring.t where id >= 0 and w in (select w from t)
-      window nx as (partition by w order by pos)),
-    pairs as (
-      select live.w, live.pos, live.next_pos, m.id as made from live join merges m on m.a = live.id and m.b = live.next_id),
+    with pairs as (
+      select l.w, l.pos, l.next_pos, r.next_pos as after, m.id as made
+      from recurring.t l join recurring.t r on r.w = l.w and r.pos = l.next_pos join merges m on m.a = l.id and m.b = r.id
+      where l.w in (select w from t)),
     least as (
-      select w, min(made) as made, arg_min(pos, made * 4294967296::bigint + pos) as pos, arg_min(next_pos, made * 4294967296::bigint + pos) as gone
+      select w, arg_min(struct_pack(pos := pos, gone := next_pos, after := after, made := made), made * 4294967296::bigint + pos) as x
       from pairs group by w)
-    select w, pos, made from least union all select w, gone, -1 from least))
+    select w, x.pos, x.made, x.after from least union all select w, x.gone, -1, -1 from least))
 select w, list(id order by pos) as ids from t where id >= 0 group by w
 """
 
@@ -92,7 +96,7 @@ select w, list(id order by pos) as ids from t where id >= 0 group by w
 """
 
 _DECODE = """
-select d, string_agg(s, '' order by p) as s from token_rows join vocab using (id) group by d
+select d, list_aggregate(list(s order by p), 'string_agg', '') as s from token_rows join vocab using (id) group by d
 """
 
 
@@ -106,8 +110,10 @@ class RecursiveBpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
         self.ids = np.fromiter(self.ranks.values(), np.int32, len(self.ranks))
+        self.decimal = [str(i) for i in range(int(self.ids.max()) + 1)]
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known: dict[str, bytes] = {}
+        self.chunk, self.uncut = re.compile(" ?[^ ]+"), regex.compile(r" (?:\s|\Z)")
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": MEMORY, "temp_directory": tempfile.mkdtemp(prefix="bpe-")})
         vocab = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "s": pa.array([b.decode("latin-1") for b in self.ranks])})
         self._query("create table vocab as select id, s from vocab_rows", vocab_rows=vocab)
@@ -128,7 +134,9 @@ class RecursiveBpe:
         flat = np.frombuffer(b"".join(words), np.uint8)
         size = np.array([len(w) for w in words], dtype=np.int64)
         at = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-        rows = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), size), "pos": at.astype(np.int32), "id": self.of_byte[flat]})
+        following = np.where(at + 1 < np.repeat(size, size), at + 1, -1)
+        rows = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), size), "pos": at.astype(np.int32), "id": self.of_byte[flat],
+                         "next_pos": following.astype(np.int32)})
         got = self._query(sql, word_bytes=rows).combine_chunks()
         lists = got.column("ids").combine_chunks()
         ids, ends = np.asarray(lists.values, dtype="<i4"), np.asarray(lists.offsets)
@@ -169,22 +177,33 @@ class RecursiveBpe:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
-        number: dict[str, int] = {}
+        collects = gc.isenabled()
+        gc.disable()                # very many small lists and no cycles: looking for some takes a good part of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts are numbers of distinct chunks, chunks numbers of distinct words, words ids: each is found once a batch."""
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__
         places, counts = [], np.zeros(len(texts), dtype=np.int64)
         for k, text in enumerate(texts):
-            found = self.pattern.findall(text)
+            found = (self.pattern if self.uncut.search(text) else self.chunk).findall(text)
             counts[k] = len(found)
-            for word in found:
-                if word not in number:
-                    number[word] = len(number)
             places.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+        in_chunk = list(map(self.pattern.findall, number))
+        words = list(chain.from_iterable(in_chunk))
+        number = defaultdict()
+        number.default_factory = number.__len__
+        word_of = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
         ids = self.encode_words(list(number))
-        size = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-        flat, begin = np.frombuffer(b"".join(ids), "<i4"), np.cumsum(size) - size
-        which = np.concatenate(places) if places else np.zeros(0, np.int32)
-        per = size[which]
-        upto = np.concatenate([[0], np.cumsum(per)])
-        out = flat[np.arange(int(upto[-1])) + np.repeat(begin[which] - upto[:-1], per)]
+        chunk_ids, chunk_size = _gather(word_of, np.fromiter(map(len, in_chunk), np.int64, len(in_chunk)), np.concatenate(places) if places else np.zeros(0, np.int32))
+        flat, size = np.frombuffer(b"".join(ids), "<i4"), np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        out, per_word = _gather(flat, size, chunk_ids)
+        upto = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], np.cumsum(chunk_size)])]
         return out, np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
@@ -202,6 +221,14 @@ class RecursiveBpe:
         return out
 
 
+def _gather(flat: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs ``which`` of ``flat`` one after the other, where the runs are as long as ``size`` says; and the length of each."""
+    begin, per = np.cumsum(size) - size, size[which]
+    ends = np.cumsum(per)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(begin[which] - ends + per, per)], per
+
+
 _LOADED: dict[tuple[str, str], RecursiveBpe] = {}
 
 
@@ -261,7 +288,7 @@ def digests(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", t
                 ids, counts = bpe.encode(texts)
                 decoded = bpe.decode(ids, counts)
                 ends = np.cumsum(counts)
-                written = [hashlib.sha256(",".join(map(str, ids[i:j].tolist())).encode()).hexdigest() for i, j in zip(ends - counts, ends, strict=True)]
+                written = [hashlib.sha256(",".join(map(bpe.decimal.__getitem__, ids[i:j].tolist())).encode()).hexdigest() for i, j in zip(ends - counts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(counts), pa.array(written, pa.string()),
                                                   pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())], ["id", "n", "ids", "decoded"])
 
