@@ -334,14 +334,13 @@ def test_rows_without_an_id_are_not_held_out(spark):
     assert {r.held_out for r in quality.score_documents(df, labels).collect()} == {False}
 
 
-def test_urls_of_unlabelled_sites_are_not_judged_by_a_rules_label(spark):
-    """All labelled com pages are blocked by one rule; the other com sites must not be blocked for that."""
-    pages = table(spark, SF_SMALL, "pages")
-    got = url_filter.filter_urls(pages).toPandas()
-    free = got[got.rule.isna() & got.host.str.endswith(".com")]
-    assert len(free) > 20 and (free.verdict == "block").mean() < 0.5
-    aucs = [a for f in range(url_filter.FOLDS) if (a := url_filter.held_out_auc(pages, f)) is not None]
-    assert all(0 <= a <= 1 for a in aucs)
+def test_suffix_statistics_leave_out_the_own_fold(spark):
+    rows, _ = url_filter._features(table(spark, SF_TINY, "pages"), url_filter.RULES, "page_id", "url")
+    got = rows.select("host", "fold", "blocked", "top_blocked").toPandas()
+    got["top"] = got.host.str.rsplit(".", n=1).str[-1]
+    for r in got.itertuples():
+        other = got[(got.top == r.top) & (got.fold != r.fold)].blocked.dropna()
+        assert abs(r.top_blocked - (other.sum() + url_filter.PRIOR_ROWS / 2) / (len(other) + url_filter.PRIOR_ROWS)) < 1e-9
 
 
 def test_rules_of_equal_length_and_long_urls(spark):
