@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,20 +33,31 @@ def enum_profile(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
     )
 
 
-def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """K2: keys that repeat (``duplicate``) and key groups with a NULL part (``null_key``)."""
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n_rows): the distinct keys, those with a NULL part among them."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def violations(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """K2 over counted keys."""
+    any_null = _any_null(keys)
     return counted.where(any_null | (F.col("n_rows") > 1)).withColumn(
         "violation", F.when(any_null, F.lit("null_key")).otherwise(F.lit("duplicate"))
     )
 
 
+def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """K2: keys that repeat (``duplicate``) and key groups with a NULL part (``null_key``)."""
+    return violations(key_counts(df, keys), keys)
+
+
 def key_summary(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """K2 report, one row: rows, distinct keys and keys that repeat or have a NULL part."""
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counted.agg(
+    return key_counts(df, keys).withColumnRenamed("n_rows", "n").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
-        F.count_if(any_null | (F.col("n") > 1)).alias("n_violations"),
+        F.count_if(_any_null(keys) | (F.col("n") > 1)).alias("n_violations"),
     ).select(F.lit(name).alias("table_name"), "n_rows", "n_keys", "n_violations")

@@ -360,13 +360,14 @@ def q_key_contract_built(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [contracts.key_summary(df, keys, name) for name, df, keys in built])
 
 
-def _event_slices(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
-    """The events in slices of LANDING_SLICE_DAYS days, each a pruned read."""
-    span = views.events(spark, sf_dir).agg(F.min(F.to_date("event_time")).alias("lo"), F.max(F.to_date("event_time")).alias("hi")).first()
+def _event_slices(spark: SparkSession, sf_dir: str) -> tuple[list[tuple[str, DataFrame]], int]:
+    """The events in slices of LANDING_SLICE_DAYS days, each a pruned read, and the number of all events."""
+    span = views.events(spark, sf_dir).agg(F.min(F.to_date("event_time")).alias("lo"), F.max(F.to_date("event_time")).alias("hi"),
+                                           F.count(F.lit(1)).alias("n")).first()
     out = []
     while span.lo is not None and (day := span.lo + dt.timedelta(days=len(out) * C.LANDING_SLICE_DAYS)) <= span.hi:
         out.append((f"slice-{len(out)}", views.events(spark, sf_dir, first=day, last=day + dt.timedelta(days=C.LANDING_SLICE_DAYS - 1))))
-    return out
+    return out, span.n
 
 
 _VISIT_KEY = ["user_id", "device_id", "event_type"]
@@ -376,8 +377,8 @@ _VISIT_KEY = ["user_id", "device_id", "event_type"]
 def q_key_contract_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key over a table that grows slice by slice: each new slice is compared with itself and, through stored
     filters, with all slices before it; counts of violations by the slice that holds the key already."""
-    slices = _event_slices(spark, sf_dir)
-    guard = key_filter.KeyGuard(spark, shared_dir(spark, "key_guard"), _VISIT_KEY, expected_keys=10_000)
+    slices, n_events = _event_slices(spark, sf_dir)
+    guard = key_filter.KeyGuard(spark, shared_dir(spark, "key_guard"), _VISIT_KEY, expected_keys=n_events)
     found = [guard.add(rows.select(*_VISIT_KEY), name).withColumn("checked", F.lit(name)) for name, rows in slices]
     if not found:
         return spark.createDataFrame([], "checked string, violation string, held_by string, n_keys long")

@@ -135,6 +135,31 @@ def test_key_guard_over_partitions(spark):
     assert found([], "p3") == [] and found([(4, "a")], "p4") == [(4, "a", "seen_before", "p2")]
 
 
+def test_key_lookup_is_one_join_row_a_key(spark):
+    held = spark.range(50).selectExpr("id as a", "'x' as b")
+    bits = key_filter.bits_for(50)
+    plan = inspect.plan_text(key_filter.may_hold(held, spark.createDataFrame([], "number long, bitmap binary"), ["a", "b"], bits), "simple")
+    assert "Generate" not in plan and "Aggregate" not in plan
+
+
+def test_filters_of_a_growing_table_are_sized_for_all_its_keys(spark, tmp_path, monkeypatch):
+    from dimfold import registry
+
+    n, guards = 12_000, []
+    one = spark.range(n).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 00:30:00' + make_dt_interval(cast(id % 11 as int)) as ts", "id as user_id",
+                                    "'view' as event_type", "1.0D as value", "'{\"k\": 1}' as props")
+    again = spark.range(5).selectExpr("id + 100000 as event_id", "timestamp_ntz'2024-01-12 00:30:00' as ts", "id * 11 as user_id", "'view' as event_type",
+                                      "1.0D as value", "'{\"k\": 1}' as props")
+    one.unionByName(again).write.parquet(f"{tmp_path}/events.parquet")
+    real = key_filter.KeyGuard
+    monkeypatch.setattr(key_filter, "KeyGuard", lambda *a, **k: guards.append(real(*a, **k)) or guards[-1])
+    got = registry.queries()["key_contract_partitions"](spark, str(tmp_path))
+    assert rows(got, "checked", "violation", "held_by", "n_keys") == [("slice-2", "seen_before", "slice-0", 5)]
+    assert guards[0].bits >= n * key_filter.BITS_PER_KEY
+    filters = guards[0]._filters().agg(F.sum(F.bitmap_count("bitmap"))).first()[0]
+    assert filters < guards[0].bits / 2                                # most bits are free: a new key is ruled out
+
+
 # ------------------------------------------------------------------ pairs of a heavy game
 
 def test_heavy_games_in_blocks_equal_light_ones(spark):
