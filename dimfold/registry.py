@@ -338,7 +338,8 @@ def q_enum_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("key_contract_built")
 def q_key_contract_built(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve declared keys of built tables: rows, distinct keys and keys that break the contract."""
-    a = actor_classes(spark, sf_dir)
+    a = sinks.materialize(spark, actor_classes(spark, sf_dir), "actors")                # built once, read for two of the keys
+    p = sinks.materialize(spark, players(spark, sf_dir).select("player_name", "scoring_class", "is_active", "current_season"), "players")
     ev, moved = views.events(spark, sf_dir), _shifted(spark, sf_dir)
     first_day = moved.select(F.min(F.to_date("event_time"))).first()[0] or C.MONTH_RUN_DATE
     hosts = datelist.host_build(moved, first_day).unionByName(datelist.host_build(moved, C.MONTH_RUN_DATE))
@@ -348,13 +349,13 @@ def q_key_contract_built(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("users_devices_cumulated", datelist.device_build(ev, views.devices(spark, sf_dir), C.RUN_DATE), ["user_id", "device_id", "date"]),
         ("hosts_cumulated", datelist.host_build(ev, C.RUN_DATE), ["host", "date"]),
         ("host_activity_reduced", reduced.host_batch(hosts, from_first_seen=True), ["month", "host"]),
-        ("players_scd", scd.scd2_full(players(spark, sf_dir), C.SCD_CUTOFF, **_PLAYERS_SCD), ["player_name", "start_season"]),
+        ("players_scd", scd.scd2_full(p, C.SCD_CUTOFF, **_PLAYERS_SCD), ["player_name", "start_season"]),
         ("vertices", v, ["identifier", "type"]),
         ("edges", e, _EDGE_KEY),
         ("array_metrics", reduced.metric_build(moved, C.MONTH_RUN_DATE), _METRIC_KEY),
         ("actors_scd", scd.scd2_full(a, C.SCD_CUTOFF), ["actor_id", "start_year"]),
         ("fct_game_details", fct_game_details(spark, sf_dir), ["dim_game_date", "dim_team_id", "dim_player_id"]),
-        ("players", players(spark, sf_dir), ["player_name", "current_season"]),
+        ("players", p, ["player_name", "current_season"]),
         ("users_cumulated", datelist.dates_build(views.events(spark, sf_dir), C.RUN_DATE), ["user_id", "date"]),
     ]
     return reduce(DataFrame.unionByName, [contracts.key_summary(df, keys, name) for name, df, keys in built])
@@ -393,26 +394,28 @@ def q_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ E: graph
 
+def _player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box scores that the graph is built from, de-duplicated once and stored."""
+    return sinks.materialize(spark, graph.player_game_rows(views.game_details(spark, sf_dir)), "player_games")
+
+
 def graph_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All vertices and all edges, built from one box-score DataFrame (identical sub-plans are reused)."""
-    gd = views.game_details(spark, sf_dir)
-    v = (
-        graph.game_vertices(views.games(spark, sf_dir))
-        .unionByName(graph.player_vertices(gd))
-        .unionByName(graph.team_vertices(views.teams(spark, sf_dir)))
-    )
-    e = graph.plays_in_edges(gd).unionByName(graph.pair_edges(gd))
-    return v, e
+    """All vertices and all edges, built from box scores de-duplicated once."""
+    rows = _player_games(spark, sf_dir)
+    return vertices(spark, sf_dir, rows), graph.plays_in_edges(rows, deduplicate=False).unionByName(graph.pair_edges(rows, deduplicate=False))
 
 
-def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph_tables(spark, sf_dir)[0]
+def vertices(spark: SparkSession, sf_dir: str, player_games: DataFrame | None = None) -> DataFrame:
+    players_of = (graph.player_vertices(views.game_details(spark, sf_dir)) if player_games is None
+                  else graph.player_vertices(player_games, deduplicate=False))
+    return (graph.game_vertices(views.games(spark, sf_dir)).unionByName(players_of)
+            .unionByName(graph.team_vertices(views.teams(spark, sf_dir))))
 
 
 def stored_graph(spark: SparkSession, sf_dir: str, edges: Callable[..., DataFrame], keys: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """The partitions of the graph tables that a read needs, as consumers find them: player vertices and one kind of
     edges, stored with the properties that are read as typed columns.  Both come from box scores de-duplicated once."""
-    rows = sinks.materialize(spark, graph.player_game_rows(views.game_details(spark, sf_dir)), "player_games")
+    rows = _player_games(spark, sf_dir)
     v = graph.typed_properties(graph.player_vertices(rows, deduplicate=False), graph.PLAYER_PROPERTIES)
     e = graph.typed_properties(edges(rows, deduplicate=False), keys)
     v_path, e_path = shared_dir(spark, "vertices"), shared_dir(spark, "edges")
