@@ -40,9 +40,10 @@ GRAPH_COLS = ("game_id", "player_id", "team_id", "team_abbreviation", "player_na
 def player_game_rows(details: DataFrame) -> DataFrame:
     """One box-score row per (player, game), first by the graph's own columns.
 
-    Projecting before de-duplicating keeps the sort and the shuffle to seven columns.
+    Projecting before de-duplicating keeps the sort and the shuffle to seven columns.  The game leads the sort: a game
+    has few rows, a player many, so the first column settles nearly every comparison.
     """
-    return keep_first(details.select(*GRAPH_COLS), ["player_id", "game_id"])
+    return keep_first(details.select(*GRAPH_COLS), ["game_id", "player_id"])
 
 
 def game_vertices(games: DataFrame) -> DataFrame:
@@ -124,12 +125,12 @@ def pair_edges(details: DataFrame, deduplicate: bool = True, heavy: int = HEAVY)
     flat = [F.col(c).alias(c.replace(".", "_")) for c in sides]
     pairs = (_light_pairs(d.join(large, "game_id", "left_anti")).select(*flat)
              .unionByName(_heavy_pairs(d.join(large, "game_id")).select(*flat)))
-    label = F.when(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit("shares_team")).otherwise(
-        F.lit("plays_against"))
+    # the pairs are shuffled with a flag, the label is written out on the sums
+    same_team = F.coalesce(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit(False))
     agg = pairs.groupBy(
         F.col("a_player_id").alias("subject_player_id"),
         F.col("b_player_id").alias("object_player_id"),
-        label.alias("edge_type"),
+        same_team.alias("same_team"),
     ).agg(
         F.max("a_player_name").alias("subject_player_name"),
         F.max("b_player_name").alias("object_player_name"),
@@ -142,7 +143,7 @@ def pair_edges(details: DataFrame, deduplicate: bool = True, heavy: int = HEAVY)
         F.lit("player").alias("subject_type"),
         F.col("object_player_id").cast("string").alias("object_identifier"),
         F.lit("player").alias("object_type"),
-        "edge_type",
+        F.when(F.col("same_team"), F.lit("shares_team")).otherwise(F.lit("plays_against")).alias("edge_type"),
         json_object(num_games=F.col("num_games"), subject_points=F.col("subject_points"),
                     object_points=F.col("object_points")).alias("properties"),
     )

@@ -199,6 +199,41 @@ def test_stored_reads_do_not_parse_json(spark):
         assert "get_json_object" not in plan and "variant_get" not in plan and "parse_json" not in plan
 
 
+def test_box_scores_are_deduplicated_once(spark, monkeypatch):
+    from dimfold import registry
+
+    calls, real = [], graph.player_game_rows
+    monkeypatch.setattr(graph, "player_game_rows", lambda d: calls.append(1) or real(d))
+    for key in ("graph_edges_pairwise", "key_contract_built"):
+        calls.clear()
+        registry.queries()[key](spark, SF_TINY)
+        assert len(calls) == 1
+
+
+def test_edge_bags_are_parsed_once_a_row(spark):
+    from dimfold import registry
+
+    plan = inspect.plan_text(registry.queries()["graph_edges_pairwise"](spark, SF_TINY), "simple")
+    assert "get_json_object" not in plan and plan.count("json_tuple") == 1
+
+
+def test_box_scores_are_sorted_by_game_first(spark):
+    d = spark.createDataFrame([(1, 1, "A", 10, "Sam", "C", 5), (1, 1, "A", 10, "Sam", "C", 3), (2, 1, "A", 10, "Sam", None, 4), (None, 1, "A", 10, "Sam", "C", 1),
+                               (None, 1, "A", 10, "Sam", "C", 1)], DETAILS)
+    once = graph.player_game_rows(d)
+    plan = inspect.plan_text(once, "simple")
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all(line.split("Sort [")[1].startswith("game_id") for line in sorts)
+    assert rows(once, "game_id", "pts") == [(1, 3), (2, 4), (None, 1)]
+
+
+def test_pairs_are_shuffled_with_a_flag(spark):
+    d = spark.createDataFrame([(1, 1, "A", 10, "Sam", "C", 5), (1, 1, "A", 11, "Kim", "C", 3), (1, 2, None, 12, "Lee", None, 4)], DETAILS)
+    e = graph.pair_edges(d)
+    assert "shares_team" not in inspect.plan_text(e, "simple")         # no projection below the sums writes the label
+    assert rows(e, "subject_identifier", "object_identifier", "edge_type") == [("11", "10", "shares_team"), ("12", "10", "plays_against"), ("12", "11", "plays_against")]
+
+
 # ------------------------------------------------------------------ uniques that add up
 
 def test_uniques_from_bitmaps(spark):
