@@ -425,7 +425,8 @@ def stored_graph(spark: SparkSession, sf_dir: str, edges: Callable[..., DataFram
 
 
 def _fields(df: DataFrame, keep: list[str], keys: list[str]) -> DataFrame:
-    return df.select(*keep, *[prop("properties", k).alias(k) for k in keys])
+    """Columns and fields of the JSON bag as text, the bag parsed once a row."""
+    return df.select(*keep, F.json_tuple("properties", *keys).alias(*keys))
 
 
 @register("graph_vertices_fact")
@@ -457,7 +458,8 @@ def q_graph_edges_bipartite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("graph_edges_pairwise")
 def q_graph_edges_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = graph.pair_edges(views.game_details(spark, sf_dir))
+    # the pairs read the box scores several times: they are de-duplicated once
+    e = graph.pair_edges(_player_games(spark, sf_dir), deduplicate=False)
     return _fields(e, _EDGE_KEY, ["num_games", "subject_points", "object_points"])
 
 
