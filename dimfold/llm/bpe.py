@@ -21,11 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.chunks import GROUP_BYTES, ChunkCache
+from dimfold.llm.chunks import ChunkCache
 from dimfold.llm.common import slices, utf8
 
 SHORT = 128
 CACHE_CHUNKS = 150_000
+GROUP_BYTES = 1 << 20     # bytes of text handled together: a worker's arrays take some 25 times as much
 # fixed value: the byte-level pre-tokenizer's pattern
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 

@@ -124,6 +124,28 @@ def test_pairs_of_a_large_group_do_not_grow_with_its_square(spark, monkeypatch):
     assert few < 200 * 2 * near_dedup.BANDS and many < 6 * few
 
 
+def test_bpe_arrays_of_a_group_are_small():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from dimfold.llm import bpe, common
+    from dimfold.llm.registry import tokenizer_path
+
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x" for i in range(600)]
+    batch = pa.array([" ".join(words[(i * 7 + j) % 600] for j in range(1000)) for i in range(1500)], pa.string())
+    data, offsets = common.utf8(batch)
+    assert len(data) > 5 << 20
+    _, cache = bpe.loaded(tokenizer_path())
+    cache.encode(data[: offsets[1]], offsets[:2])
+    tracemalloc.start()
+    for a, b in common.slices(data, offsets, bpe.GROUP_BYTES):
+        cache.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
 def test_first_of_classes_decides_on_rows(spark):
     a, b = "one two three four five six seven eight nine ten", "ein anderer text mit ganz anderen worten der allein steht"
     rows = [(5, a), (3, a), (3, a), (None, a), (None, b), (8, b + " zusatz"), (8, "x y z"), (None, None), (None, ""), (9, "   ")]
